@@ -23,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -208,8 +209,6 @@ def predict(docs: DataFrame, model: CodeLengths | None, held_out=None, id_col: s
 
 def keep_identified(docs: DataFrame, model: CodeLengths | None, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """``docs``, all columns, without rows whose language isn't determined or whose score is below ``least``."""
-    import pandas as pd
-
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")

@@ -23,6 +23,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -158,8 +159,6 @@ def redact_text(text: str, mark: str = "[REDACTED]") -> str:
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
     """``docs`` with the same columns and rows; secrets in the text are replaced, null stays null."""
-    import pandas as pd
-
     @F.pandas_udf(T.StringType())
     def clean(column: pd.Series) -> pd.Series:
         return column.map(lambda x: x if x is None else redact_text(x, mark))
