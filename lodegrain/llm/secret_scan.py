@@ -38,7 +38,7 @@ KINDS = ("assign", "access", "hex", "literal")
 # Parts of names that make an assigned literal sensitive, with weights.
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "privatekey": 1.0, "accesskey": 1.0, "credential": 0.8, "credentials": 0.8, "pwd": 0.9, "auth": 0.6, "bearer": 0.8, "signature": 0.5, "salt": 0.5, "key": 0.4}
 #: Literals that stand for a value rather than being one.
-PLACEHOLDERS = re.compile(r"(?i)^(?:x+|\*+|\.+|none|null|true|false|changeme|example|placeholder|todo|<.*>|\$\{.*\}|%\(.*\)s)$")
+PLACEHOLDERS = re.compile(r"(?i)^(?:x+|\*+|\.+|none|null|true|false|changeme|example|placeholder|todo|<.*>|\[[A-Z_ ]+\]|\$\{.*\}|%\(.*\)s)$")
 
 _PAIR = re.compile(
     r"""(?P<q>["']?)(?P<name>[A-Za-z_][A-Za-z0-9_.-]{0,79})(?P=q)[\x20\t]*(?::=|=>|=(?!=)|:(?![:/]))[\x20\t]*(?:"(?P<dq>(?:[^"\\\n]|\\.)+)"|'(?P<sq>(?:[^'\\\n]|\\.)+)'|(?P<bare>[^\s"'`,;(){}\[\]<>]+))"""
