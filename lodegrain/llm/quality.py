@@ -1,6 +1,6 @@
 """Document quality by regularised quadratic discriminant analysis.
 
-Each text is described by transformed statistics (logs of counts, logits of shares). For
+Each text is described by transformed statistics (logs of counts, arcsine roots of shares). For
 each class, mean and covariance are estimated on labelled rows; a covariance is shrunk
 towards the pooled one and that towards its mean variance, so it is always positive
 definite. Its Cholesky factor is computed once and kept: a text's Mahalanobis distance is
@@ -36,9 +36,8 @@ _STOPS = re.compile(r"[.;:,](?:\s|$)")
 
 
 def _share(part: float, whole: float) -> float:
-    """A share as a logit, kept finite by half a count."""
-    part = min(part, whole)
-    return float(np.log((part + 0.5) / (whole - part + 0.5)))
+    """A share by the arcsine of its root: what a text doesn't have is 0, however short the text."""
+    return float(np.arcsin(np.sqrt(min(part, whole) / whole))) if whole else 0.0
 
 
 def statistics(text: str) -> list[float]:
@@ -71,7 +70,7 @@ def statistics(text: str) -> list[float]:
 class Discriminant:
     """Two shrunken Gaussian classes with cached Cholesky factors."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, shrink: float = 0.1, ridge: float = 0.01):
+    def __init__(self, x: np.ndarray, y: np.ndarray, shrink: float = 0.3, ridge: float = 0.01):
         self.prior = float(y.mean()) if len(y) else 0.5
         self.classes = []
         if not 0 < self.prior < 1 or len(y) < 4:
