@@ -42,15 +42,18 @@ def _strict_index(values: pd.Series) -> pd.Series:
 def parse_index(c: Column, strict: bool = False) -> Column:
     """A JSON inverted index as a map; what isn't one is null.
 
-    The plain form stays in the JVM: it takes JSON objects and, as a last key wins, needs
-    ``spark.sql.mapKeyDedupPolicy=LAST_WIN``. It wants the text to end with a brace, so
-    that trailing content makes it null. The strict form also takes lists of pairs.
+    The plain form stays in the JVM and takes JSON objects; of a repeated key the last
+    entry counts. It wants the text to end with a brace, so trailing content makes it
+    null. The strict form also takes lists of pairs.
     """
     if strict:
         ship()
         return _strict_index(c)
     whole = F.when(F.trim(c).rlike(r"(?s)^\{.*\}$"), F.trim(c))
-    return F.map_from_entries(F.map_entries(F.from_json(whole, POSITIONS)))
+    entries = F.map_entries(F.from_json(whole, POSITIONS))
+    keys = F.transform(entries, lambda e: e["key"])
+    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
+    return F.map_from_entries(F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(last))
 
 
 def squeeze(c: Column) -> Column:

@@ -87,3 +87,9 @@ def numbered(df: DataFrame, order: str, name: str, by: tuple[str, ...] = (), tie
     before = dealt.groupBy(*by, "__piece").count().withColumn("__before", F.sum("count").over(sizes) - F.col("count")).drop("count")
     within = F.row_number().over(Window.partitionBy(*by, "__piece").orderBy(order, *tie)) - 1
     return dealt.withColumn("__within", within).join(before, [*by, "__piece"]).withColumn(name, F.col("__within") + F.col("__before")).drop("__piece", "__within", "__before")
+
+
+def first_rows(df: DataFrame, n: int, order: str, by: tuple[str, ...] = (), batch: int = 1) -> DataFrame:
+    """At most ``n`` rows of each group in order, rounded up to whole batches."""
+    most = -(-n // batch) * batch
+    return numbered(df, order, "__row", by).filter(F.col("__row") < most).drop("__row")

@@ -11,9 +11,11 @@ from collections.abc import Callable
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from lodegrain import functions, schema
 from lodegrain.functions import ids, text, vectors
 from lodegrain.operators import dedupe, index, joins, knn, models, predicates, projections, stats
-from lodegrain.plans import engine
+from lodegrain.plans import engine, prepare
+from lodegrain.settings import Settings
 from lodegrain.sources import readers, writers
 from lodegrain.streaming import incremental
 
@@ -289,6 +291,37 @@ def lookup_first_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.first_by(T(spark, sf_dir, "customer").select("c_nationkey", "c_custkey", "c_mktsegment"), "c_nationkey", [F.col("c_custkey")])
 
 
+@query("""
+WITH a AS (SELECT l_orderkey, string_agg(t, ' ' ORDER BY l_linenumber, t) AS abstract FROM (SELECT DISTINCT l_orderkey, l_linenumber, 'k' || l_partkey || '_' || l_linenumber AS t FROM lineitem) GROUP BY 1)
+SELECT 'https://host/W' || o_orderkey AS id, o_orderpriority AS title, CAST(year(o_orderdate) AS BIGINT) AS publication_year, left(n_name, 8) AS country_code, abstract
+FROM orders JOIN a ON l_orderkey = o_orderkey LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey WHERE year(o_orderdate) IN (1993, 1994, 1995)
+""")
+def prepare_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole preparation path: years, semi-join, country, texts rebuilt from inverted indexes."""
+    orders, nations = T(spark, sf_dir, "orders"), joins.small(T(spark, sf_dir, "nation"), 1000)
+    given = {"id": F.concat(F.lit("https://host/W"), "o_orderkey"), "title": F.col("o_orderpriority"), "publication_year": F.year("o_orderdate").cast("string"), "primary_location__source__id": F.concat(F.lit("S"), "o_custkey")}
+    works = orders.select(*[given.get(c, F.lit(None).cast("string")).cast("string").alias(c) for c in schema.WORK_COLUMNS])
+    sources = T(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(F.concat(F.lit("S"), "c_custkey").alias("id"), F.col("n_name").alias("country_code"))
+    token = F.concat(F.lit("k"), "l_partkey", F.lit("_"), "l_linenumber")
+    index = T(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_set(F.struct(token, F.array("l_linenumber")))))).alias("value"))
+    abstracts = index.select(F.concat(F.lit("W"), "l_orderkey").alias("id"), "value")
+    made = prepare.prepare(works, abstracts, sources, Settings(years=YEARS))
+    return made.select("id", "title", "publication_year", "country_code", "abstract")
+
+
+@query("SELECT vec_id, label FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY vec_id) AS r FROM embeddings) WHERE r <= 8")
+def first_rows_per_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row limit of 5 for each part, rounded up to batches of 4."""
+    return joins.first_rows(T(spark, sf_dir, "embeddings").select("vec_id", "label"), 5, "vec_id", ("label",), 4)
+
+
+@query("SELECT o_orderkey, o_orderkey AS id64, lower(o_orderpriority) AS lowered FROM orders")
+def registered_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    functions.register(spark)
+    T(spark, sf_dir, "orders").createOrReplaceTempView("orders_view")
+    return spark.sql("SELECT o_orderkey, numeric_id(concat('https://host/W', o_orderkey)) AS id64, lower(html_unescape(o_orderpriority)) AS lowered FROM orders_view")
+
+
 # Payloads, batches, counters.
 
 

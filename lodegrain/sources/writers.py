@@ -105,6 +105,15 @@ class Collection:
         order = F.struct("__batch", F.xxhash64(*names))
         return rows.groupBy(self.key).agg(F.max_by(F.struct(*names), order).alias("__r")).select("__r.*")
 
+    def flat(self, name: str) -> DataFrame | None:
+        """Rows as a document store returns them: payload with ``_id`` and ``_collection_name``, without vectors."""
+        rows = self.read()
+        return None if rows is None else rows.drop(self.vector).withColumnRenamed(self.key, "_id").withColumn("_collection_name", F.lit(name))
+
+    def cluster_by(self, path: str, columns: list[str]) -> None:
+        """A copy sorted by hot filter columns, so that scans skip row groups: what payload indexes are for."""
+        self.read().repartitionByRange(*columns).sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
+
     def compact(self) -> None:
         """One base of the latest rows, sorted by key; batches up to it are no longer read and go."""
         seen, rows = self._versions(), self.read()

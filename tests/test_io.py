@@ -138,3 +138,21 @@ def test_entry_points():
 
     queries, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(queries) and "knn_exact_topk" in sql
+
+
+def test_command_line_from_dump_to_hits(spark, tmp_path, capsys):
+    from lodegrain import cli
+
+    blank = {c: None for c in schema.WORK_COLUMNS}
+    works = [blank | {"id": f"https://x/W{i}", "title": t, "publication_year": "2021"} for i, t in enumerate(["Green cat", "Blue dog", "No text"])]
+    spark.createDataFrame([tuple(r[c] for c in schema.WORK_COLUMNS) for r in works], schema.WORKS).write.parquet(f"{tmp_path}/w")
+    spark.createDataFrame([("W0", '{"green":[0],"cat":[1]}'), ("W1", '{"blue":[0],"dog":[1]}'), ("W2", None)], schema.ABSTRACTS).write.parquet(f"{tmp_path}/a")
+    run = lambda *a: cli.main([str(x) for x in a], spark)
+    assert run("prepare", "--works", f"{tmp_path}/w", "--abstracts", f"{tmp_path}/a", "--out", f"{tmp_path}/r") == 0
+    assert run("load", "--records", f"{tmp_path}/r", "--collection", f"{tmp_path}/c") == 0
+    assert "'points': 2" in capsys.readouterr().out
+    assert run("search", "--collection", f"{tmp_path}/c", "-q", "blue dog", "--year", 2021) == 0
+    assert json.loads(capsys.readouterr().out)[0]["title"] == "Blue dog"
+    assert run("search", "--collection", f"{tmp_path}/c", "-q", "cat", "--keyword", "--no-rerank", "--out", f"{tmp_path}/o.json") == 0
+    assert [h["openalex_id"] for h in json.loads((tmp_path / "o.json").read_text())] == ["https://x/W0"]
+    assert run("search", "--collection", f"{tmp_path}/none", "-q", "x") == 1 and run("search", "--collection", f"{tmp_path}/c") == 2
