@@ -14,7 +14,8 @@ def connected(edges: DataFrame) -> DataFrame:
     long chains shorten by half at least. A node's edges are reduced with partial sums
     before the shuffle, and each round is written to the shared scratch folder.
     """
-    both = common.settle(edges.select(F.col("a").alias("v"), F.col("b").alias("u")).unionAll(edges.select("b", "a")).distinct(), "edges")
+    way = lambda v, u: F.struct(F.col(v).alias("v"), F.col(u).alias("u"))
+    both = common.settle(edges.select(F.explode(F.array(way("a", "b"), way("b", "a"))).alias("e")).select("e.*").distinct(), "edges")
     labels = common.settle(both.groupBy("v").agg(F.least(F.first("v"), F.min("u")).alias("root")), "labels")
     while True:
         near = both.join(labels.select(F.col("v").alias("u"), "root"), "u").groupBy("v").agg(F.min("root").alias("near"))
