@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lodegrain.session import ship
 
 #: Texts handled together in one vectorised step hold about so many bytes.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,9 +29,35 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+#: Rows of an Arrow batch of texts; bounds what a worker and the JVM hold of them at once.
+BATCH_ROWS = 2000
+
+_held: dict[str, object] = {}
+
+
+def held(label: str, make: Callable[[], object] | None = None):
+    """A worker's one large object, made when first asked for.
+
+    Workers are reused by later stages. Asking under another label lets go of what the
+    stage before held, so what operators remember doesn't add up.
+    """
+    if label not in _held:
+        _held.clear()
+        _held[label] = make() if make else None
+    return _held[label]
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long: ship them in batches of fewer rows than Spark's default, unless a smaller number is set."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` after the package was shipped."""
+    """``mapInArrow`` after the package was shipped, in small batches."""
     ship(df.sparkSession)
+    small_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 

@@ -20,6 +20,7 @@ ignored.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,7 +82,7 @@ def learn_counts(docs: DataFrame, per_language: int) -> DataFrame:
 class CodeLengths:
     """Frozen PPM statistics of several languages, compiled for look-up."""
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], min_context: int = 2):
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], min_context: int = 4):
         """``counts``: by language, four-byte runs and how often each occurs.
 
         Contexts of order 3 seen fewer than ``min_context`` times in all are left out of the trees.
@@ -164,7 +165,7 @@ class CodeLengths:
         return out, sizes
 
 
-def learn(docs: DataFrame, per_language: int = 400, min_context: int = 2) -> CodeLengths | None:
+def learn(docs: DataFrame, per_language: int = 400, min_context: int = 4) -> CodeLengths | None:
     """Learn from (doc_id, text, lang); rows without text or language are left out.
 
     What comes to the driver is distinct four-byte runs of the sample: at most
@@ -180,11 +181,12 @@ def learn(docs: DataFrame, per_language: int = 400, min_context: int = 2) -> Cod
 def predict(docs: DataFrame, model: CodeLengths | None, held_out=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, lang_pred, score, bits_per_byte) for each row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    label = f"languages {uuid.uuid4().hex}"
     plain = common.texts(docs, id_col, text_col)
     plain = plain.select("doc_id", "text", (F.lit(False) if held_out is None else held_out).alias("held_out"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("worded"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = common.held(label, lambda: shared.value)
         for batch in batches:
             bodies, worded = batch.column(1).to_pylist(), np.array(batch.column(3).to_pylist(), bool)
             lang, score, rate = [], [], []
@@ -210,17 +212,20 @@ def predict(docs: DataFrame, model: CodeLengths | None, held_out=None, id_col: s
 def keep_identified(docs: DataFrame, model: CodeLengths | None, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """``docs``, all columns, without rows whose language isn't determined or whose score is below ``least``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    label = f"languages {uuid.uuid4().hex}"
 
     @F.pandas_udf("double")
     def best(column: pd.Series) -> pd.Series:
-        if shared.value is None:
+        model = common.held(label, lambda: shared.value)
+        if model is None:
             return pd.Series(np.zeros(len(column)))
         out = []
         bodies = [b or "" for b in column]
         for _, part in common.slices(bodies, bodies):
-            bits, _ = shared.value.bits(part)
+            bits, _ = model.bits(part)
             out.append(1 / np.exp2(bits.min(1, keepdims=True) - bits).sum(1))
         return pd.Series(np.concatenate(out) if out else np.zeros(0))
 
     common.ship(docs.sparkSession)
+    common.small_batches(docs.sparkSession)
     return docs.filter(F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))).filter(best(F.col(text_col)) >= least)

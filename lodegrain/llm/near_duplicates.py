@@ -71,16 +71,13 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-_powers = Powers()
-
-
 def word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, first bytes' places) of the words in lower-cased bytes."""
     data = np.frombuffer(raw, np.uint8)
     inside = np.concatenate([[False], ~_SPACE[data], [False]])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
-    up, down = _powers.to(len(data) + 1)
+    up, down = common.held("powers", Powers).to(len(data) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * up[:-1], dtype=np.uint64)])
     return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64)), starts
 

@@ -161,7 +161,9 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") ->
     """``docs`` with the same columns and rows; secrets in the text are replaced, null stays null."""
     @F.pandas_udf(T.StringType())
     def clean(column: pd.Series) -> pd.Series:
+        common.held("secrets")
         return column.map(lambda x: x if x is None else redact_text(x, mark))
 
     common.ship(docs.sparkSession)
+    common.small_batches(docs.sparkSession)
     return docs.withColumn(text_col, clean(F.col(text_col)))

@@ -133,16 +133,12 @@ class MergeCounter:
         return self._plain(text)
 
 
-_made: dict[int, MergeCounter] = {}
-
-
 def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for each row of ``docs``; ``vocabulary`` is a file's path."""
     rules = docs.sparkSession.sparkContext.broadcast(vocab.read_file(vocabulary))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hash(rules.value)
-        counter = _made.get(key) or _made.setdefault(key, MergeCounter(rules.value))
+        counter = common.held(f"merges {hash(rules.value)}", lambda: MergeCounter(rules.value))
         for batch in batches:
             bodies = [x or "" for x in batch.column(1).to_pylist()]
             counts = pa.array([counter.count(x) for x in bodies], pa.int64())

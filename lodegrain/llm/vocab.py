@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import array
+import functools
 import os
 import re
 from collections.abc import Iterable
 
+from lodegrain.llm import common
+
 # A task has one core: the library's own thread pool would only spin on the others'.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Remembered chunks of a worker; past this the memory starts anew.
-MEMORY = 500_000
+MEMORY = 600_000
 
 
 def read_file(path: str) -> str:
@@ -47,6 +51,7 @@ class WordIds:
         )
         size = self.library.get_vocab_size()
         self.dtype = np.uint16 if size <= 1 << 16 else np.uint32
+        self.kind = functools.partial(array.array, "H" if size <= 1 << 16 else "I")
         self.ends = np.zeros(size, bool)
         for token, i in self.library.get_vocab().items():
             self.ends[i] = bool(suffix) and token.endswith(suffix)
@@ -72,21 +77,28 @@ class WordIds:
                 self.known.update(zip(part, self._library_ids(part)))
 
     def _learn(self, chunks: Iterable[str]) -> None:
-        known, words, other, made = self.known, set(), set(), []
+        known, model, kind = self.known, self.library.model, self.kind
+        words, other, made = set(), set(), []
         for chunk in chunks:
             head = chunk.rstrip(".,!#$%&*|")
             if head and head.isalpha() and max(head) < "ɐ":
                 tail = chunk[len(head) :]
-                low = head.lower() if head.isascii() else head
+                plain = head.isascii()
+                low = head.lower() if plain else head
                 if low not in known:
-                    words.add(low)
+                    if plain:
+                        # Of lower-case ASCII letters, normalising and pre-tokenising make the word itself.
+                        known[low] = kind([t.id for t in model.tokenize(low)]).tobytes()
+                    else:
+                        words.add(low)
                 if tail and tail not in known:
                     other.add(tail)
                 if tail or low != chunk:
                     made.append((chunk, low, tail))
             else:
                 other.add(chunk)
-        self._words(sorted(words))
+        if words:
+            self._words(sorted(words))
         if other:
             items = sorted(other)
             known.update(zip(items, self._library_ids(items)))
@@ -99,19 +111,16 @@ class WordIds:
             return self._library_ids(bodies)
         if len(self.known) > MEMORY:
             self.known.clear()
-        known, cut = self.known, [body.replace("\n", " ").split(" ") for body in bodies]
-        unseen = set().union(*cut) - known.keys()
-        if unseen:
-            self._learn(unseen)
-        return [b"".join([known[c] for c in chunks]) for chunks in cut]
-
-
-_made: dict[int, WordIds] = {}
+        known, out = self.known, []
+        for body in bodies:
+            chunks = body.replace("\n", " ").split(" ")
+            unseen = [c for c in chunks if c not in known]
+            if unseen:
+                self._learn(set(unseen))
+            out.append(b"".join([known[c] for c in chunks]))
+        return out
 
 
 def word_ids(content: str) -> WordIds:
-    """One tokenizer for each worker process and file."""
-    key = hash(content)
-    if key not in _made:
-        _made[key] = WordIds(content)
-    return _made[key]
+    """One tokenizer for each worker process."""
+    return common.held(f"word ids {hash(content)}", lambda: WordIds(content))
