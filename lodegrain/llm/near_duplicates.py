@@ -284,11 +284,17 @@ def cluster(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col
 def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``docs`` with one document of each component, all columns kept.
 
-    Rows that repeat a kept doc_id are reduced to one as well; only such rows are shuffled with their text.
+    Rows that share a kept doc_id are reduced to one as well; rows with a null id all stay
+    if one of them does. Texts aren't shuffled as long as the ids to drop can be broadcast:
+    they are what is looked up, and they are counted first. Of texts, only those of shared
+    ids are shuffled then; with more ids than the bound, all are.
     """
-    held = common.settle(cluster(docs, percent).filter("kept").groupBy("doc_id").count(), "kept").select(F.col("doc_id").alias("__kept_id"), F.col("count").alias("__kept_rows"))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id"))
-    several = held.filter("__kept_rows > 1 and __kept_id is not null")
-    single = docs.join(held.filter("__kept_rows = 1 or __kept_id is null"), same, "left_semi")
-    repeated = docs.join(several, same, "left_semi").dropDuplicates(["doc_id"])
-    return single.unionByName(repeated) if several.limit(1).count() else single
+    counted = cluster(docs, percent).groupBy(F.col("doc_id").alias("__id")).agg(F.sum(F.col("kept").cast("int")).alias("__kept"), F.count("*").alias("__rows"))
+    marked = common.settle(counted.filter("__kept = 0 or (__rows > 1 and __id is not null)"), "dropped")
+    gone = F.broadcast(marked) if marked.count() <= BROADCAST_IDS else marked
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
+    rest = docs.join(gone, same, "left_anti")
+    shared = marked.filter("__kept > 0")
+    if not shared.limit(1).count():
+        return rest
+    return rest.unionByName(docs.join(shared, same, "left_semi").dropDuplicates(["doc_id"]))
