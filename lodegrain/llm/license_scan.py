@@ -146,5 +146,9 @@ def inherit(scanned: DataFrame, file_share: float = 0.5) -> DataFrame:
 
 
 def licenses(docs: DataFrame, path: Column, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """Scan and inheritance for each row of ``docs``, whose path is given by an expression."""
-    return inherit(scan(docs.select(F.col(id_col).cast("long").alias("doc_id"), path.cast("string").alias("path"), F.col(text_col).cast("string").alias("text")), **options))
+    """Scan and inheritance for each row of ``docs``, whose path is given by an expression.
+
+    Inheritance reads the scan's few columns three times, so they are written once.
+    """
+    files = docs.select(F.col(id_col).cast("long").alias("doc_id"), path.cast("string").alias("path"), F.col(text_col).cast("string").alias("text"))
+    return inherit(common.settle(scan(files, **options), "licenses"))
