@@ -73,8 +73,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = N, id_col: str = "doc_i
     placed = of(lengths[0]) if len(lengths) == 1 else F.concat(*[of(k) for k in lengths])
     # The outer form, as for the other Spark infers a filter that works out all windows again for each word.
     spread = hashed.select(*kept, "d_words", placed.alias("d_windows")).select(*kept, "d_words", F.inline_outer("d_windows"))
-    same = (F.col("d_hash") == F.col("w_hash")) & (F.slice("d_words", F.col("at") + 1, F.col("n")) == F.col("w_words"))
-    found = spread.join(table.drop("n_words"), same, "left").filter(F.col("w_hash").isNotNull() | ((F.col("at") == 0) & (F.col("n") == lengths[0])))
+    # Lengths are compared too: the entry past the end holds fewer words than n, and may equal a shorter item.
+    same = (F.col("n") == F.col("w_n")) & (F.col("d_hash") == F.col("w_hash")) & (F.slice("d_words", F.col("at") + 1, F.col("n")) == F.col("w_words"))
+    found = spread.join(table.withColumnRenamed("n_words", "w_n"), same, "left").filter(F.col("w_hash").isNotNull() | ((F.col("at") == 0) & (F.col("n") == lengths[0])))
     found = found.select(*kept, F.size("d_words").cast("long").alias("n_words"), F.when(F.col("w_hash").isNotNull(), F.struct("at", "n")).alias("hit"), "items")
     grouped = found.groupBy(*kept).agg(F.max("n_words").alias("n_words"), F.collect_set("hit").alias("hits"), F.flatten(F.collect_set("items")).alias("items"))
     covered = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["at"], h["at"] + h["n"] - 1)))))
