@@ -5,8 +5,10 @@ source and configuration syntax (``name = "x"``, ``name: x``, ``"name": "x"``, `
 x``, ``export NAME=x``, ``<name>x</name>``) into name-literal pairs. A name assigned from
 another name takes over its literal (constants are propagated to a fixed point), so a
 literal is judged by every name it reaches. The score of a literal is the weight of the
-most sensitive part of those names, plus a bonus for random-looking content; literals
-whose score reaches the threshold become spans of the kind ``literal``.
+most sensitive part of those names, plus a bonus for random-looking content, with which
+every listed name reaches the threshold; spaces count against a literal unless it is a
+password or passphrase. Literals whose score reaches the threshold become spans of the
+kind ``literal``. Scores are added in tenths, as integers.
 
 Spans are (kind, start, end) in code points, end exclusive. Literal spans that lie within
 a base span are not repeated.
@@ -37,6 +39,8 @@ KINDS = ("assign", "access", "hex", "literal")
 
 # Parts of names that make an assigned literal sensitive, with weights.
 SENSITIVE = {"password": 1.0, "passwd": 1.0, "passphrase": 1.0, "secret": 1.0, "token": 0.9, "apikey": 1.0, "privatekey": 1.0, "accesskey": 1.0, "credential": 0.8, "credentials": 0.8, "pwd": 0.9, "auth": 0.6, "bearer": 0.8, "signature": 0.5, "salt": 0.5, "key": 0.4}
+#: Parts of names whose literals may well be several words.
+PHRASES = {"password", "passwd", "passphrase", "pwd"}
 #: Literals that stand for a value rather than being one.
 PLACEHOLDERS = re.compile(r"(?i)^(?:x+|\*+|\.+|none|null|true|false|changeme|example|placeholder|todo|<.*>|\[[A-Z_ ]+\]|\$\{.*\}|%\(.*\)s)$")
 
@@ -48,11 +52,15 @@ _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*\Z")
 
 
+def parts_of(name: str) -> list[str]:
+    """A name's parts, and neighbouring parts joined."""
+    parts = [p.lower() for p in _PARTS.findall(name)]
+    return parts + [a + b for a, b in zip(parts, parts[1:])]
+
+
 def sensitivity(name: str) -> float:
     """The weight of a name's most sensitive part, or of two neighbouring parts joined."""
-    parts = [p.lower() for p in _PARTS.findall(name)]
-    joined = parts + [a + b for a, b in zip(parts, parts[1:])]
-    return max((SENSITIVE.get(p, 0.0) for p in joined), default=0.0)
+    return max((SENSITIVE.get(p, 0.0) for p in parts_of(name)), default=0.0)
 
 
 def entropy(literal: str) -> float:
@@ -97,8 +105,9 @@ def assigned_literals(text: str, threshold: float = 0.9) -> list[tuple[int, int]
         weight = max(map(sensitivity, reached))
         if weight and len(value) >= 8 and not PLACEHOLDERS.match(value):
             mixed = any(c.isdigit() for c in value) and any(c.isalpha() for c in value)
-            score = weight + (0.3 if mixed and entropy(value) >= 3 else 0) - (0.5 if " " in value or not mixed and value.isalpha() and value.islower() else 0)
-            if score >= threshold:
+            spaced = " " in value and PHRASES.isdisjoint(p for n in reached for p in parts_of(n))
+            score = round(10 * weight) + (5 if mixed and entropy(value) >= 3 else 0) - (5 if spaced or not mixed and value.isalpha() and value.islower() else 0)
+            if score >= round(10 * threshold):
                 out.append(span)
     return sorted(out)
 
