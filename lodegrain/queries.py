@@ -187,8 +187,8 @@ def clean_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def normalised_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Copies merged by the full normaliser."""
-    docs = T(spark, sf_dir, "documents").select("doc_id", F.left("text", F.lit(80)).alias("title"), F.col("text").alias("abstract"))
+    """Copies merged by the full normaliser; the whole text is the title."""
+    docs = T(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("title"), F.col("text").alias("abstract"))
     return dedupe.dedupe_documents(docs, [F.col("doc_id")], key=dedupe.document_key(own="doc_id")).select("doc_id", "duplicates")
 
 
