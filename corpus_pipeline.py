@@ -25,8 +25,8 @@ def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return near_duplicates.keep_one(docs).select(*docs.columns)
+    """One document of each group of near duplicates: those of 80 % similarity or more."""
+    return near_duplicates.keep_one(docs, percent=80).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

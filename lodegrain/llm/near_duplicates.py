@@ -2,7 +2,8 @@
 
 1. Each document's distinct five-word shingles are hashed to 64 bits. One pass over the
    sorted hashes gives the least in each of 256 bins; an empty bin copies a filled one found
-   by a fixed sequence of hashed probes (optimal densification). Eight bins make a band.
+   by a fixed sequence of hashed probes (optimal densification). Eight bins make a band,
+   or fewer where the similarity asked for needs more bands (``rows_of``).
 2. Documents with equal sets are one node. Nodes that share a band's key are joined by
    edges to the bucket's least node, a star: as many edges as members, never all pairs.
    The stars' components are families: every pair that shares a bucket is in one family.
@@ -13,7 +14,8 @@
    size, and blocks whose sizes can't reach the similarity aren't paired.
 4. The links' components get their smallest doc_id.
 
-At a similarity of 0.85 two sets share no band with probability below 4e-5; a signature
+At a similarity of 0.85 two sets share no band with probability below 4e-5 (32 bands of
+8), at 0.80 below 1e-14 (64 bands of 4), as far as bins are independent; a signature
 rules out a pair only where it is five standard errors below the similarity asked for.
 
 Defined results: null text, or text without words, has no shingles, is linked with nothing
@@ -32,8 +34,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from lodegrain.llm import common, components
 
+#: Bins, and the most of them in a band.
 BINS, ROWS = 256, 8
-BANDS = BINS // ROWS
+#: Two sets of the similarity asked for share no band with a probability of at most this.
+MISS = 1e-4
 WORDS = 5
 #: Bounds of a block of a family: members, and shingles of all members.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 2_000_000
@@ -124,10 +128,18 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def band_keys(values: np.ndarray) -> np.ndarray:
-    """One 64-bit key for each band; bands don't share keys."""
-    rows = values.reshape(BANDS, ROWS).astype(np.uint64)
-    return mix((mix(rows) * _ROW).sum(1, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64) * _BASE).view(np.int64)
+def rows_of(percent: int) -> int:
+    """The most bins a band may have so that a pair at ``percent`` % is missed with at most ``MISS``."""
+    rows = ROWS
+    while rows > 1 and (1 - (percent / 100) ** rows) ** (BINS // rows) > MISS:
+        rows //= 2
+    return rows
+
+
+def band_keys(values: np.ndarray, rows: int = ROWS) -> np.ndarray:
+    """One 64-bit key for each band of ``rows`` bins; bands don't share keys."""
+    bands = values.reshape(-1, rows).astype(np.uint64)
+    return mix((mix(bands) * _ROW[:rows]).sum(1, dtype=np.uint64) + np.arange(len(bands), dtype=np.uint64) * _BASE).view(np.int64)
 
 
 def node(shingles: np.ndarray) -> int:
@@ -138,14 +150,15 @@ def node(shingles: np.ndarray) -> int:
 SIGNED = "doc_id long, n_shingles long, node long, keys array<long>"
 
 
-def signed(docs: DataFrame) -> DataFrame:
+def signed(docs: DataFrame, percent: int = 85) -> DataFrame:
     """Each document's set size, node and band keys."""
+    rows = rows_of(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, bodies in common.slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 sets = shingle_sets(bodies)
-                keys = [band_keys(signature(s)) if len(s) else None for s in sets]
+                keys = [band_keys(signature(s), rows) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array([node(s) if len(s) else None for s in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64()))], [f.split()[0] for f in SIGNED.split(", ")])
 
     return common.map_batches(common.texts(docs), run, SIGNED)
@@ -267,7 +280,7 @@ def links(docs: DataFrame, nodes: DataFrame, families: DataFrame, percent: int)
 def cluster(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row; links need ``percent`` % similarity."""
     plain = common.texts(docs, id_col, text_col)
-    every = common.settle(signed(plain), "signed")
+    every = common.settle(signed(plain, percent), "signed")
     first = every.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
     nodes = common.settle(first, "nodes")
     families = components.connected(star_edges(nodes))
