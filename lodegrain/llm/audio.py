@@ -150,6 +150,12 @@ def pack_tensors(batch: pa.RecordBatch) -> bytes:
     return out.getvalue().to_pybytes()
 
 
+def unpack_tensors(stream: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(patches, their time spans) of a tensor batch written as a stream."""
+    batch = pa.ipc.open_stream(stream).read_next_batch()
+    return batch.column(0).to_numpy_ndarray(), np.column_stack([batch.column(1), batch.column(2)])
+
+
 def payload(text: str | None) -> tuple[bytes, int]:
     """UTF-8 bytes padded with spaces to a positive multiple of 192, and their size before."""
     raw = (text or "").encode("utf-8")
@@ -162,6 +168,15 @@ def summary(patches: np.ndarray, active: list[tuple[float, float]]) -> str:
     return f"patches={len(patches)};segments={len(active)};active={sum(b - a for a, b in active):.3f};mean={mel.mean():.3f};sd={mel.std():.3f}"
 
 
+def feature(samples: bytes, rate: int) -> str:
+    """The summary of a recording's tensors and time spans, as they are read back from their stream."""
+    patches, spans, active = features(samples, rate)
+    back, times = unpack_tensors(pack_tensors(tensor_batch(patches, spans)))
+    if len(times) != len(back) or not np.array_equal(times, spans):
+        raise ValueError("time spans were not read back as written")
+    return summary(back, active)
+
+
 SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
 
 
@@ -175,8 +190,7 @@ def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 body, size = payload(text)
                 media = to_wav(body)
                 back, rate = from_wav(media)
-                patches, _, active = features(back, rate)
-                rows.append((doc_id, size, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), summary(patches, active)))
+                rows.append((doc_id, size, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature(back, rate)))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), TYPES)], NAMES)
 
     return common.map_batches(common.texts(docs, id_col, text_col), run, SCHEMA)
