@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
+import re
 import tempfile
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodegrain.session import ship
 
@@ -29,38 +30,79 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-#: Rows of an Arrow batch of texts; bounds what a worker and the JVM hold of them at once.
-BATCH_ROWS = 2000
+#: Rows and bytes of an Arrow batch of texts; bound what a worker and the JVM hold of them at once.
+BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 
 _held: dict[str, object] = {}
 
 
-def held(label: str, make: Callable[[], object] | None = None):
-    """A worker's one large object, made when first asked for.
+#: Large objects of a worker: what the operators of one stage may need side by side.
+HELD = 2
+
+
+def held(label: str, make: Callable[[], object]):
+    """A worker's large object, made when first asked for.
 
-    Workers are reused by later stages. Asking under another label lets go of what the
-    stage before held, so what operators remember doesn't add up.
+    Workers are reused by later stages. Only the objects last asked for stay, so what
+    operators remember doesn't add up, and two operators in one stage keep one each.
     """
-    if label not in _held:
-        _held.clear()
-        _held[label] = make() if make else None
+    if label in _held:
+        _held[label] = _held.pop(label)
+        return _held[label]
+    while len(_held) >= HELD:
+        del _held[next(iter(_held))]
+    _held[label] = make()
     return _held[label]
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Texts are long: ship them in batches of fewer rows than Spark's default, unless a smaller number is set."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
-        spark.conf.set(name, BATCH_ROWS)
+    """Texts are long: ship them in small batches, unless still smaller ones are set.
+
+    The settings are the session's, as Spark reads them only when a plan runs; on other
+    queries of the session they have no effect but the size of Arrow batches.
+    """
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = f"spark.sql.execution.arrow.{name}"
+        if not 0 < int(re.sub(r"[^0-9-]", "", spark.conf.get(name))) <= most:
+            spark.conf.set(name, most)
 
 
-def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """``mapInArrow`` after the package was shipped, in small batches."""
     ship(df.sparkSession)
     small_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
+def map_texts(df: DataFrame, text_col: str, fn: Callable[[list[str | None]], list], kind: str) -> Column:
+    """A column of ``fn``'s value for each text, computed from Arrow arrays of that column alone."""
+    ship(df.sparkSession)
+    small_batches(df.sparkSession)
+    types = {"double": pa.float64(), "string": pa.string()}
+
+    def run(column: pa.Array) -> pa.Array:
+        bodies = column.to_pylist()
+        out: list = []
+        for _, part in slices(bodies, bodies):
+            out += fn(part)
+        return pa.array(out, types[kind])
+
+    run.__annotations__ = {"column": pa.Array, "return": pa.Array}
+    return F.arrow_udf(run, kind)(F.col(text_col))
+
+
+def fresh(taken: Iterable[str], *wanted: str) -> list[str]:
+    """Names like those wanted that no column has, whatever the columns are called."""
+    low = {c.lower() for c in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in low:
+            name += "_"
+        low.add(name.lower())
+        out.append(name)
+    return out
+
+
 def slices(ids: list, bodies: list, limit: int = CHUNK_BYTES) -> Iterator[tuple[list, list]]:
     """Consecutive rows whose texts hold about ``limit`` characters; a longer text stands alone."""
     at, held = 0, 0
@@ -76,34 +118,42 @@ def slices(ids: list, bodies: list, limit: int = CHUNK_BYTES) -> Iterator[tuple[
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder's path below the shared checkpoint folder.
 
-    The folder comes from ``spark.checkpoint.dir``. Only where that is unset, as in
-    tests on one machine, a folder below the working directory's temp is set.
-    It is removed when the application ends.
+    The folder comes from ``spark.checkpoint.dir``. Where that is unset, a temporary one
+    of this machine is taken if all executors are on it, as in tests; on a cluster it is an
+    error. What is left in it is removed when the application ends.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not base:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        current = context._jsc.sc().getCheckpointDir()
         base = current.get() if current.isDefined() else None
     if not base:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="lodegrain-scratch")
-        spark.sparkContext.setCheckpointDir(base)
+        context.setCheckpointDir(base)
     path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(context._jsc.hadoopConfiguration())
     fs.mkdirs(target)
     fs.deleteOnExit(target)
     return path
 
 
-def drop(spark: SparkSession, path: str) -> None:
-    """Remove a scratch folder that no pending plan reads."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write to scratch and read again: cuts lineage with files all executors see."""
-    path = scratch(df.sparkSession, label) + "/data"
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    path = scratch(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path + "/data")
+    out = df.sparkSession.read.schema(df.schema).parquet(path + "/data")
+    out._lodegrain_scratch = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove the files of settled tables that no pending plan reads any more."""
+    for df in tables:
+        path = getattr(df, "_lodegrain_scratch", None)
+        if path:
+            context = df.sparkSession.sparkContext
+            target = context._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)

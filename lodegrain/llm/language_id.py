@@ -5,9 +5,13 @@ each context in labelled text. A byte is coded in the longest context that the t
 a context in which the byte never occurred is left by an escape, whose probability is
 distinct / (total + distinct), and bytes that it did hold are excluded further down. Below
 order 0 all remaining bytes are alike. Statistics are frozen after learning, so the code
-length of a byte depends on the three bytes before it and itself. It is therefore computed
-once for each context and byte and looked up afterwards; sums of look-ups are the exact
-code lengths that the tree gives.
+length of a byte depends on the three bytes before it and itself. A text's code length is
+the exact sum; runs of four bytes that were met before are remembered with their lengths.
+
+Trees are sorted arrays of the runs that occurred, so a language costs bytes in proportion
+to its sample and not to the alphabet. The bytes that a longer context held are a subset of
+those of the shorter one; what exclusion takes from a context's sums is therefore a number
+of the longer context alone, and stored with it.
 
 The language with the shortest code is predicted; the score is its posterior probability
 under equal priors.
@@ -15,7 +19,8 @@ under equal priors.
 Defined results: null text or text without a letter gives ``und`` with score 0; where no
 labelled text was there to learn from, all rows are ``und``; ties go to the language that
 sorts first; repeated rows repeat; an empty table gives an empty result; extra columns are
-ignored.
+ignored by ``predict`` and kept by ``keep_identified``; a very long text is scored whole, in
+blocks, so beside its bytes it takes no more memory than others.
 """
 
 from __future__ import annotations
@@ -24,7 +29,6 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -33,6 +37,12 @@ from lodegrain.llm import common
 ORDER = 3
 UNDETERMINED = "und"
 SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double, bits_per_byte double"
+#: Bytes of remembered code lengths in a worker; numbers looked up at once.
+REMEMBERED, BLOCK = 16 << 20, 1 << 20
+#: Runs of all languages together, at some 60 bytes each in the trees.
+MOST_RUNS = 5_000_000
+#: Bits a byte, above which even the best language's code is no shorter than the text, in texts of so many bytes.
+MOST_BITS, FROM_BYTES = 8.0, 64
 #: What stands before a text, in learning and in scoring.
 PAD = b"\n" * ORDER
 
@@ -45,17 +55,17 @@ def _joined(bodies: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(PAD + PAD.join(raw), np.uint8), starts, sizes
 
 
-def learn_counts(docs: DataFrame, per_language: int) -> DataFrame:
+def learn_counts(docs: DataFrame, per_language: int, most_languages: int) -> DataFrame:
     """(lang, gram, n): how often each run of four bytes occurs in the labelled sample.
 
     The sample is about ``per_language`` whole texts of each language, chosen by a hash of
-    the id; counting happens in the tasks and only distinct runs leave them.
+    id and text; counting happens in the tasks and only distinct runs leave them.
     """
-    sizes = {r[0]: r[1] for r in docs.groupBy("lang").count().collect()}
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))]) if sizes else None
-    if share is None:
+    sizes = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    if not sizes:
         return docs.sparkSession.createDataFrame([], "lang string, gram long, n long")
-    sample = docs.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
+    share = F.create_map(*[F.lit(x) for lang, n in sizes for x in (lang, min(1.0, per_language / n))])
+    sample = docs.filter(F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,103 +89,131 @@ def learn_counts(docs: DataFrame, per_language: int) -> DataFrame:
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-class CodeLengths:
-    """Frozen PPM statistics of several languages, compiled for look-up."""
+def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, with the sums of ``n``."""
+    keys, place = np.unique(keys, return_inverse=True)
+    return keys, np.bincount(place, n, len(keys))
+
+
+def _places(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each wanted value is in the sorted keys, and whether it is there."""
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+class Tree:
+    """One language's contexts of the orders 0 to 3, frozen."""
+
+    def __init__(self, grams: np.ndarray, n: np.ndarray):
+        self.runs, self.contexts = [], []  # by order: (runs, counts) and (contexts, totals, distinct, what they exclude below)
+        for k in range(ORDER + 1):
+            runs, counts = _summed(grams & ((1 << 8 * (k + 1)) - 1), n)
+            contexts, totals = _summed(runs >> 8, counts)
+            distinct = np.bincount(_places(contexts, runs >> 8)[0], minlength=len(contexts)).astype(float)
+            excluded = np.zeros(len(contexts))
+            if k:
+                shorter, least = self.runs[-1]
+                excluded = np.bincount(_places(contexts, runs >> 8)[0], least[_places(shorter, runs & ((1 << 8 * k) - 1))[0]], len(contexts))
+            self.runs.append((runs, counts))
+            self.contexts.append((contexts, totals, distinct, excluded))
+
+    @property
+    def nbytes(self) -> int:
+        return sum(x.nbytes for part in (*self.runs, *self.contexts) for x in part)
+
+    def code_lengths(self, grams: np.ndarray) -> np.ndarray:
+        """Bits of each run's last byte after the bytes before it."""
+        bits = np.zeros(len(grams))
+        todo = np.ones(len(grams), bool)
+        gone_total = gone_distinct = np.zeros(len(grams))
+        for k in range(ORDER, -1, -1):
+            contexts, totals, distinct, excluded = self.contexts[k]
+            at, there = _places(contexts, grams >> 8 & ((1 << 8 * k) - 1))
+            live = np.where(there, distinct[at] - gone_distinct, 0)
+            whole = np.where(there, totals[at] - gone_total, 0) + live
+            runs, counts = self.runs[k]
+            place, seen = _places(runs, grams & ((1 << 8 * (k + 1)) - 1))
+            coded, left = todo & seen, todo & ~seen & (whole > 0)
+            bits[coded] += np.log2(whole[coded] / counts[place[coded]])
+            bits[left] += np.log2(whole[left] / live[left])
+            todo &= ~seen
+            gone_total, gone_distinct = np.where(there, excluded[at], 0), np.where(there, distinct[at], 0)
+        bits[todo] += np.log2(256 - self.contexts[0][2][0])
+        return bits
+
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]], min_context: int = 4):
-        """``counts``: by language, four-byte runs and how often each occurs.
+class CodeLengths:
+    """Frozen PPM statistics of several languages, with a bounded memory of code lengths."""
 
-        Contexts of order 3 seen fewer than ``min_context`` times in all are left out of the trees.
-        """
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray]]):
+        """``counts``: by language, four-byte runs and how often each occurs."""
         self.languages = sorted(counts)
-        grams = np.concatenate([g for g, _ in counts.values()])
-        present = np.unique(np.concatenate([grams >> s & 255 for s in (0, 8, 16, 24)]))
-        self.symbol = np.full(256, len(present), np.int64)  # the last symbol: bytes never seen
-        self.symbol[present] = np.arange(len(present))
-        size = self.size = len(present) + 1
-        packed = {}
-        for lang, (g, n) in counts.items():
-            s = [self.symbol[g >> k & 255] for k in (24, 16, 8, 0)]
-            packed[lang] = (s, n.astype(np.float64))
-        totals = np.zeros(size**3)
-        for s, n in packed.values():
-            np.add.at(totals, (s[0] * size + s[1]) * size + s[2], n)
-        long_contexts = np.flatnonzero(totals >= min_context)
-        # A state for each kept context of three bytes, then one for each pair of bytes before.
-        self.state = np.tile(np.arange(size * size, dtype=np.int32), size)
-        self.state[long_contexts] = size * size + np.arange(len(long_contexts), dtype=np.int32)
-        self.cost = np.empty(((size * size + len(long_contexts)) * size, len(packed)), np.float32)
-        for k, lang in enumerate(self.languages):
-            self.cost[:, k] = self._language(packed[lang], long_contexts, len(present)).ravel()
-
-    def _language(self, packed, long_contexts: np.ndarray, seen: int) -> np.ndarray:
-        """Code lengths in bits, by state and symbol."""
-        (a, b, c, d), n = packed
-        size = self.size
-        by_order = [np.zeros((size**k, size)) for k in range(3)]
-        for table, row in zip(by_order, (np.zeros_like(b), c, b * size + c)):
-            np.add.at(table, (row, d), n)
-        place = np.full(size**3, -1, np.int64)
-        place[long_contexts] = np.arange(len(long_contexts))
-        row = place[(a * size + b) * size + c]
-        third = np.zeros((len(long_contexts), size))
-        np.add.at(third, (row[row >= 0], d[row >= 0]), n[row >= 0])
-        pairs = np.arange(size * size)
-        shorter = self._mixed([by_order[2], by_order[1][pairs % size], np.broadcast_to(by_order[0], (size * size, size))], seen)
-        tail = long_contexts % (size * size)
-        longer = self._mixed([third, by_order[2][tail], by_order[1][tail % size], np.broadcast_to(by_order[0], third.shape)], seen)
-        return np.concatenate([shorter, longer])
-
-    def _mixed(self, tables: list[np.ndarray], seen: int) -> np.ndarray:
-        """Longest context first: probability there, or escape and go on without what it held."""
-        probability = np.zeros(tables[0].shape)
-        carried = np.ones((len(tables[0]), 1))
-        free = np.ones(tables[0].shape, bool)
-        for counts in tables:
-            live = np.where(free, counts, 0)
-            total, distinct = live.sum(1, keepdims=True), (live > 0).sum(1, keepdims=True)
-            whole = total + distinct
-            known = whole > 0
-            np.divide(carried * live, whole, out=live, where=known & (live > 0))
-            probability += live
-            free &= counts == 0
-            carried = np.where(known, carried * distinct / np.where(known, whole, 1), carried)
-        rest = free.copy()
-        unseen = 256 - seen
-        weight = np.ones(self.size)
-        weight[-1] = max(unseen, 1)  # the last symbol stands for every byte never seen
-        remaining = (rest * weight).sum(1, keepdims=True)
-        probability += np.where(rest, carried / np.maximum(remaining, 1), 0)
-        return -np.log2(probability)
+        self.trees = [Tree(np.asarray(counts[x][0], np.int64), np.asarray(counts[x][1], np.float64)) for x in self.languages]
+        self.bits_of_slots = min(18, (REMEMBERED // (8 + 4 * len(self.trees))).bit_length() - 1)
+        self.keys = self.lengths = None
+
+    @property
+    def nbytes(self) -> int:
+        return sum(t.nbytes for t in self.trees)
+
+    def _lengths(self, grams: np.ndarray) -> np.ndarray:
+        """(runs, languages) code lengths. A run's slot holds the last run that fell on it."""
+        if self.keys is None:
+            self.keys = np.full(1 << self.bits_of_slots, -1, np.int64)
+            self.lengths = np.zeros((1 << self.bits_of_slots, len(self.trees)), np.float32)
+        slot = lambda x: (x * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - self.bits_of_slots)
+        at = slot(grams)
+        out = self.lengths[at]
+        unmet = np.flatnonzero(self.keys[at] != grams)
+        if len(unmet):
+            new, place = np.unique(grams[unmet], return_inverse=True)
+            made = np.column_stack([t.code_lengths(new) for t in self.trees]).astype(np.float32)
+            out[unmet] = made[place]
+            at = slot(new)
+            self.keys[at], self.lengths[at] = -1, 0
+            # Of several new runs on one slot the last stays, with its own lengths.
+            last = np.full(len(self.keys), -1, np.int64)
+            last[at] = np.arange(len(new))
+            stay = last[at] == np.arange(len(new))
+            self.keys[at[stay]], self.lengths[at[stay]] = new[stay], made[stay]
+        return out
 
     def bits(self, bodies: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Code length of each text in each language, and the texts' sizes in bytes."""
-        data, starts, sizes = _joined(bodies)
-        out = np.zeros((len(bodies), len(self.languages)))
-        s = self.symbol[data]
-        if len(s) > ORDER:
-            state = self.state[(s[:-3] * self.size + s[1:-2]) * self.size + s[2:-1]]
-            cost = np.take(self.cost, state * np.int64(self.size) + s[3:], axis=0)
-            filled = np.flatnonzero(sizes)
-            if len(filled):
-                # Sums from each text's first byte to its last: the padding between is in odd slots.
-                edges = np.column_stack([starts[filled], starts[filled] + sizes[filled]]).ravel() - ORDER
-                edges = edges[:-1] if edges[-1] >= len(cost) else edges
-                out[filled] = np.add.reduceat(cost, edges, axis=0, dtype=np.float64)[::2]
-        return out, sizes
-
-
-def learn(docs: DataFrame, per_language: int = 400, min_context: int = 4) -> CodeLengths | None:
+        data, _, sizes = _joined(bodies)
+        n = len(bodies)
+        out = np.zeros((n + 1, len(self.trees)))
+        owner = np.repeat(np.column_stack([np.full(n, n), np.arange(n)]).ravel(), np.column_stack([np.full(n, ORDER), sizes]).ravel())
+        block = max(1 << 12, BLOCK // len(self.trees))
+        for at in range(ORDER, len(data), block):
+            end = min(at + block, len(data))
+            s = data[at - ORDER : end].astype(np.int64)
+            lengths = self._lengths(s[:-3] << 24 | s[1:-2] << 16 | s[2:-1] << 8 | s[3:])
+            own = owner[at:end]
+            first = own.min()
+            for k in range(len(self.trees)):
+                sums = np.bincount(own - first, lengths[:, k])
+                out[first : first + len(sums), k] += sums
+        return out[:n], sizes
+
+
+def learn(docs: DataFrame, per_language: int = 400, most_languages: int = 1000) -> CodeLengths | None:
     """Learn from (doc_id, text, lang); rows without text or language are left out.
 
-    What comes to the driver is distinct four-byte runs of the sample: at most
-    ``per_language`` texts' worth for each language, whatever the corpus holds.
+    The sample is bounded by both parameters: about ``per_language`` texts of each of the
+    ``most_languages`` commonest languages. What comes to the driver is their distinct
+    four-byte runs. The trees are sent to the executors, so their bytes are checked.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    got = learn_counts(known, per_language).toPandas()
+    rows = common.settle(learn_counts(known, per_language, most_languages), "grams")
+    runs = rows.count()
+    if runs > MOST_RUNS:
+        raise ValueError(f"{runs} runs of bytes were learnt, where {MOST_RUNS} can be sent to every executor; learn from fewer texts or languages")
+    got = rows.toPandas()
+    common.drop(rows)
     if got.empty:
         return None
-    return CodeLengths({lang: (x["gram"].to_numpy(np.int64), x["n"].to_numpy(np.int64)) for lang, x in got.groupby("lang")}, min_context)
+    return CodeLengths({lang: (x["gram"].to_numpy(np.int64), x["n"].to_numpy(np.int64)) for lang, x in got.groupby("lang")})
 
 
 def predict(docs: DataFrame, model: CodeLengths | None, held_out=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -209,23 +247,23 @@ def predict(docs: DataFrame, model: CodeLengths | None, held_out=None, id_col: s
     return common.map_batches(plain, run, SCHEMA)
 
 
-def keep_identified(docs: DataFrame, model: CodeLengths | None, least: float = 0.5, text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, without rows whose language isn't determined or whose score is below ``least``."""
+def keep_identified(docs: DataFrame, model: CodeLengths | None, least: float = 0.5, most_bits: float = MOST_BITS, text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, without rows whose language isn't determined.
+
+    That is: texts without a letter, texts whose score is below ``least``, and texts of 64
+    bytes or more that no learnt language codes in ``most_bits`` bits a byte.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     label = f"languages {uuid.uuid4().hex}"
 
-    @F.pandas_udf("double")
-    def best(column: pd.Series) -> pd.Series:
+    def best(bodies: list[str | None]) -> list[float]:
         model = common.held(label, lambda: shared.value)
         if model is None:
-            return pd.Series(np.zeros(len(column)))
-        out = []
-        bodies = [b or "" for b in column]
-        for _, part in common.slices(bodies, bodies):
-            bits, _ = model.bits(part)
-            out.append(1 / np.exp2(bits.min(1, keepdims=True) - bits).sum(1))
-        return pd.Series(np.concatenate(out) if out else np.zeros(0))
-
-    common.ship(docs.sparkSession)
-    common.small_batches(docs.sparkSession)
-    return docs.filter(F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False))).filter(best(F.col(text_col)) >= least)
+            return [0.0] * len(bodies)
+        bits, sizes = model.bits([b or "" for b in bodies])
+        rate = bits.min(1) / np.maximum(sizes, 1)
+        score = 1 / np.exp2(bits.min(1, keepdims=True) - bits).sum(1)
+        return np.where((sizes >= FROM_BYTES) & (rate > most_bits), 0.0, score).tolist()
+
+    worded = docs.filter(F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)))
+    return worded.filter(common.map_texts(docs, text_col, best, "double") >= least)

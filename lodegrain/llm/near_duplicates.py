@@ -6,13 +6,16 @@
    or fewer where the similarity asked for needs more bands (``rows_of``).
 2. Documents with equal sets are one node. Nodes that share a band's key are joined by
    edges to the bucket's least node, a star: as many edges as members, never all pairs.
-   The stars' components are families: every pair that shares a bucket is in one family.
-3. Within a family, pairs of different texts are confirmed on their full sets of shingles.
-   Signatures and sizes rule out most pairs first, and pairs that are connected already
-   need no look. Families of any size are cut into blocks of bounded size; each task has
-   one pair of blocks and returns a spanning forest of its links. Blocks are made by set
-   size, and blocks whose sizes can't reach the similarity aren't paired.
-4. The links' components get their smallest doc_id.
+3. Each node is held against one centre on full sets: the one with which it shares most
+   bands. That is one pair for each node, and it settles the groups whose members resemble
+   their centre, however large they are.
+4. Buckets whose nodes are in more than one component by then are looked at as a whole, once
+   for each distinct set of members: a link may join two members that don't resemble their
+   centre. Only pairs within such a bucket and of different components are compared, those
+   that sizes and signatures don't rule out on full sets. Buckets of any size are cut into
+   blocks of bounded size by set size; each task has one pair of blocks and returns a
+   spanning forest of its links. No pair outside a bucket is compared.
+5. The links' components get their smallest doc_id.
 
 At a similarity of 0.85 two sets share no band with probability below 4e-5 (32 bands of
 8), at 0.80 below 1e-14 (64 bands of 4), as far as bins are independent; a signature
@@ -21,7 +24,8 @@ rules out a pair only where it is five standard errors below the similarity aske
 Defined results: null text, or text without words, has no shingles, is linked with nothing
 and is its own component; a text of fewer than five words is one shingle; a null doc_id
 counts last within its component; repeated rows repeat; an empty table gives an empty
-result; extra columns are ignored (``keep_one`` returns them).
+result; extra columns are ignored (``keep_one`` returns them, whatever their names); a very
+long text is one set like any other, held by one task at a time beside at most a block.
 """
 
 from __future__ import annotations
@@ -39,10 +43,10 @@ BINS, ROWS = 256, 8
 #: Two sets of the similarity asked for share no band with a probability of at most this.
 MISS = 1e-4
 WORDS = 5
-#: Bounds of a block of a family: members, and shingles of all members.
+#: Bounds of a block of a bucket: members, and shingles of all members.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 2_000_000
-#: Ids up to this number are broadcast to pick the texts of families; more are joined by shuffling.
-BROADCAST_IDS = 1_000_000
+#: Rows to look up (an id and a hash each) are broadcast up to this number; more are joined by shuffling.
+BROADCAST_IDS = 500_000
 
 _random = np.random.Generator(np.random.PCG64(20_240_229))
 _BYTE = _random.integers(0, 1 << 64, 256, np.uint64)
@@ -147,85 +151,156 @@ def node(shingles: np.ndarray) -> int:
     return int(mix(np.array([mix(shingles + _BASE).sum(dtype=np.uint64) ^ np.uint64(len(shingles))], np.uint64)).view(np.int64)[0])
 
 
-SIGNED = "doc_id long, n_shingles long, node long, keys array<long>"
+SIGNED = "doc_id long, text_hash long, n_shingles long, node long, keys array<long>"
 
 
-def signed(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """Each document's set size, node and band keys."""
+def hashed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, text, text_hash): id and hash together tell rows apart unless they are repeated."""
+    return common.texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+
+
+def signed(plain: DataFrame, percent: int = 85) -> DataFrame:
+    """Each row's set size, node and band keys."""
     rows = rows_of(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, bodies in common.slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            at = 0
+            for _, bodies in common.slices(*[batch.column(1).to_pylist()] * 2):
                 sets = shingle_sets(bodies)
                 keys = [band_keys(signature(s), rows) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array([node(s) if len(s) else None for s in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64()))], [f.split()[0] for f in SIGNED.split(", ")])
+                columns = [batch.column(k).slice(at, len(bodies)) for k in (0, 2)]
+                columns += [pa.array(map(len, sets), pa.int64()), pa.array([node(s) if len(s) else None for s in sets], pa.int64()), pa.array(keys, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in SIGNED.split(", ")])
+                at += len(bodies)
 
-    return common.map_batches(common.texts(docs), run, SIGNED)
+    return common.map_batches(plain.select("doc_id", "text", "text_hash"), run, SIGNED)
 
 
 def star_edges(nodes: DataFrame) -> DataFrame:
-    """(a, b): each bucket's least node and every other member."""
+    """(a, b, shared): each bucket's least node and every other member, with the number of buckets they share."""
     rows = nodes.select("node", F.explode("keys").alias("key"))
     centres = rows.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("key", "a")
-    return rows.join(centres, "key").filter("node > a").select("a", F.col("node").alias("b")).distinct()
+    return rows.join(centres, "key").filter("node > a").groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("shared"))
 
 
 def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
     common_size = len(np.intersect1d(a, b, assume_unique=True))
     return 100 * common_size >= percent * (len(a) + len(b) - common_size)
 
 
 def forest(left: list, right: list | None, percent: int) -> list[tuple[int, int]]:
-    """Links that connect what the block (or the pair of blocks) links. Members are (node, shingles)."""
-    other = left if right is None else right
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = x = parent[parent[x]]
-        return x
+    """Links that connect what the block (or the pair of blocks) links, as pairs of labels.
 
+    Members are (label, shingles). Members of one label are connected already, so only
+    pairs of different labels are compared, and none that a link found before connects.
+    """
+    other = left if right is None else right
     low = np.array([signature(s) for _, s in other]).astype(np.uint8)
     own = low if right is None else np.array([signature(s) for _, s in left]).astype(np.uint8)
     sizes = np.array([len(s) for _, s in other])
+    names, tags = np.unique(np.array([x for x, _ in left] + ([] if right is None else [x for x, _ in right]), np.int64), return_inverse=True)
+    own_tags, tags = tags[: len(left)], tags[-len(other) :]  # the same memory where there is one block
+    s = percent / 100
     out = []
-    for i, (x, shingles) in enumerate(left):
+    for i, (_, shingles) in enumerate(left):
         first = i + 1 if right is None else 0
         n = len(shingles)
-        least, most = np.minimum(sizes[first:], n), np.maximum(sizes[first:], n)
-        near = np.flatnonzero(100 * least >= percent * most)
+        near = first + np.flatnonzero((tags[first:] != own_tags[i]) & (100 * np.minimum(sizes[first:], n) >= percent * np.maximum(sizes[first:], n)))
         if not len(near):
             continue
-        s = percent / 100
-        floor = s - 5 * np.sqrt(s * (1 - s) / np.minimum(BINS, least[near]))
-        alike = (low[first + near] == own[i]).mean(1)
-        for j in (first + near[alike >= floor]).tolist():
-            y = other[j][0]
-            if root(x) != root(y) and _linked(shingles, other[j][1], percent):
-                parent[root(x)] = root(y)
-                out.append((x, y))
+        floor = s - 5 * np.sqrt(s * (1 - s) / np.minimum(BINS, np.minimum(sizes[near], n)))
+        for j in near[(low[near] == own[i]).mean(1) >= floor].tolist():
+            a, b = int(own_tags[i]), int(tags[j])
+            if a != b and _linked(shingles, other[j][1], percent):
+                out.append((int(names[a]), int(names[b])))
+                own_tags[own_tags == b] = a
+                tags[tags == b] = a
     return out
 
 
+def with_sets(plain: DataFrame, nodes: DataFrame, dealt: DataFrame) -> DataFrame:
+    """``dealt`` (node, ...) with each node's ``shingles``, from the text of the node's first row.
+
+    The rows to read are looked up by id and text hash: broadcast if they were counted to be few.
+    """
+    wanted = common.settle(dealt.select("node").distinct().join(nodes.select("node", "first_id", "first_hash"), "node").select("first_id", "first_hash"), "wanted")
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    same = (F.col("text_hash") == F.col("first_hash")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, bodies in common.slices(*[batch.column(0).to_pylist()] * 2):
+                made = [s for s in shingle_sets(bodies) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array([node(s) for s in made], pa.int64()), pa.array([s.tobytes() for s in made], pa.binary())], ["node", "shingles"])
+
+    full = common.map_batches(plain.filter("text is not null").join(few, same, "left_semi").select("text"), sets, "node long, shingles binary")
+    return dealt.join(full, "node")
+
+
 LINKS = "a long, b long"
 
 
-def links(docs: DataFrame, nodes: DataFrame, families: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links (a, b), a spanning forest of them for each pair of blocks.
+def _link_batch(made: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*made)], ["a", "b"])
 
-    ``nodes``: (node, n, first_id); ``families``: (v, root).
+
+def _parts(df: DataFrame) -> int:
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+
+
+def centre_links(plain: DataFrame, nodes: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) of each node with the centre it shares most buckets with.
+
+    A centre's members are dealt into bounded groups, each with the centre's set in front.
     """
-    spark = docs.sparkSession
-    member = families.select(F.col("v").alias("node"), F.col("root").alias("family")).join(nodes, "node")
+    best = stars.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
+    best = common.settle(best.join(nodes.select(F.col("node").alias("b"), "n"), "b"), "best")
+    groups = best.groupBy("a").agg(F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).alias("groups"))
+    members = best.join(groups, "a").select(F.col("b").alias("node"), "a", F.pmod(F.xxhash64(F.lit("group"), "b"), "groups").alias("g"), F.lit(1).alias("side"))
+    centres = groups.select(F.col("a").alias("node"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("g"), F.lit(0).alias("side"))
+    paired = with_sets(plain, nodes, common.settle(members.unionByName(centres), "dealt"))
+    paired = paired.repartition(_parts(plain), "a", "g").sortWithinPartitions("a", "g", "side").select("a", "side", "node", "shingles")
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre, own = None, np.zeros(0, np.uint64)
+        for batch in batches:
+            made = []
+            for a, side, x, body in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                shingles = np.frombuffer(body, np.uint64)
+                if side == 0:
+                    centre, own = a, shingles
+                elif centre == a and _linked(own, shingles, percent):
+                    made.append((a, x))
+            if made:
+                yield _link_batch(made)
+
+    return common.map_batches(paired, confirm, LINKS)
+
+
+def bucket_links(plain: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame | None:
+    """Links (a, b) between the labels of nodes that share a bucket; ``labels``: (node, label) of all nodes in stars.
+
+    None if no bucket holds more than one label.
+    """
+    member = common.settle(nodes.join(labels, "node").select("node", "label", "n", "keys"), "members")
+    rows = member.select("node", "label", "n", F.explode("keys").alias("key"))
+    open_keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m"), F.sum(F.xxhash64("node") % (1 << 40)).alias("h1"), F.bit_xor(F.xxhash64(F.lit("set"), "node")).alias("h2"))
+    # Buckets of the same members are one group.
+    groups = common.settle(open_keys.filter("low < high").groupBy("m", "h1", "h2").agg(F.min("key").alias("key")).select("key"), "groups")
+    if not groups.limit(1).count():
+        return None
     # Sets of linked documents are of the same or neighbouring classes; a step is a bit wider than the similarity asks.
-    member = common.settle(member.withColumn("class", F.floor(F.log("n") / -np.log(percent / 100 - 0.01)).cast("int")), "members")
+    grouped = rows.join(groups, "key").withColumn("class", F.floor(F.log("n") / -np.log(percent / 100 - 0.01)).cast("int"))
+    grouped = common.settle(grouped, "grouped")
     blocks = lambda: F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    whole = member.groupBy("family").agg(blocks().alias("f_blocks"))
-    units = member.groupBy("family", "class").agg(blocks().alias("blocks"))
-    above = units.select("family", (F.col("class") - 1).alias("class"), F.col("blocks").alias("up"))
-    below = units.select("family", (F.col("class") + 1).alias("class"), F.col("blocks").alias("down"))
-    sized = member.join(units.join(whole, "family").join(above, ["family", "class"], "left").join(below, ["family", "class"], "left"), ["family", "class"])
+    whole = grouped.groupBy("key").agg(blocks().alias("all_blocks"))
+    units = grouped.groupBy("key", "class").agg(blocks().alias("blocks"))
+    above = units.select("key", (F.col("class") - 1).alias("class"), F.col("blocks").alias("up"))
+    below = units.select("key", (F.col("class") + 1).alias("class"), F.col("blocks").alias("down"))
+    sized = grouped.join(units.join(whole, "key").join(above, ["key", "class"], "left").join(below, ["key", "class"], "left"), ["key", "class"])
     own = F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks").cast("long")).cast("int")
     row = lambda c, i, d, j, side: F.struct(c.alias("c"), i.alias("i"), d.alias("d"), j.alias("j"), side.alias("side"))
     upto = lambda n: F.sequence(F.lit(0), n - 1)
@@ -235,79 +310,90 @@ def links(docs: DataFrame, nodes: DataFrame, families: DataFrame, percent: int)
     up = F.transform(upto(F.col("up")), lambda k: row(c, F.col("own"), c + 1, k, F.lit(0)))
     down = F.transform(upto(F.col("down")), lambda k: row(c - 1, k, c, F.col("own"), F.lit(1)))
     none = F.slice(small, 1, 0)
-    groups = F.when(F.col("f_blocks") == 1, small).otherwise(F.concat(within, F.coalesce(up, none), F.coalesce(down, none)))
-    dealt = sized.withColumn("own", own).select("node", "family", F.explode(groups).alias("g")).select("node", "family", "g.*")
-
-    ids = member.select(F.col("first_id").alias("wanted")).distinct()
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, bodies in common.slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                made = [s for s in shingle_sets(bodies) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([node(s) for s in made], pa.int64()), pa.array([s.tobytes() for s in made], pa.binary())], ["node", "shingles"])
-
-    picked = common.texts(docs).filter("text is not null").join(ids, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
-    full = common.map_batches(picked, sets, "node long, shingles binary")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    key = ["family", "c", "i", "d", "j"]
-    paired = dealt.join(full, "node").repartition(parts, *key).sortWithinPartitions(*key, "node").select(*key, "side", "node", "shingles")
+    places = F.when(F.col("all_blocks") == 1, small).otherwise(F.concat(within, F.coalesce(up, none), F.coalesce(down, none)))
+    dealt = sized.withColumn("own", own).select("node", "label", "key", F.explode(places).alias("g")).select("node", "label", "key", "g.*")
+    key = ["key", "c", "i", "d", "j"]
+    paired = with_sets(plain, nodes, common.settle(dealt, "dealt"))
+    paired = paired.repartition(_parts(plain), *key).sortWithinPartitions(*key, "node").select(*key, "side", "node", "label", "shingles")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, sides, made = None, ({}, {}), []
 
         def ended() -> list:
-            left, right = (list(s.items()) for s in sides)
+            left, right = (list(s.values()) for s in sides)
             apart = held is not None and held[1:3] != held[3:5]
             return forest(left, right if apart else None, percent) if left and (right or not apart) else []
 
         for batch in batches:
-            for *at, side, x, body in zip(*(batch.column(k).to_pylist() for k in range(8))):
+            for *at, side, x, label, body in zip(*(batch.column(k).to_pylist() for k in range(9))):
                 if at != held:
                     made += ended()
                     held, sides = at, ({}, {})
-                sides[side][x] = np.frombuffer(body, np.uint64)  # one for each node, however many texts gave it
+                sides[side][x] = label, np.frombuffer(body, np.uint64)  # one for each node, however many rows gave it
             if made:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*made)], ["a", "b"])
+                yield _link_batch(made)
                 made = []
         made += ended()
         if made:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*made)], ["a", "b"])
+            yield _link_batch(made)
 
     return common.map_batches(paired, confirm, LINKS)
 
 
+def components_of(plain: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Each row's set size and node; the nodes with their first row; (node, root) of nodes that are linked."""
+    every = common.settle(signed(plain, percent), "signed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
+    nodes = every.filter("node is not null").groupBy("node").agg(first.alias("f"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.count("*").alias("n_rows"))
+    nodes = common.settle(nodes.select("node", F.col("f.doc_id").alias("first_id"), F.col("f.text_hash").alias("first_hash"), "n", "n_rows", "keys"), "nodes")
+    stars = common.settle(star_edges(nodes), "stars")
+    near = components.connected(common.settle(centre_links(plain, nodes, stars, percent), "links"))
+    near = near.select(F.col("v").alias("node"), F.col("root").alias("label"))
+    seen = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
+    labels = common.settle(seen.join(near, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "labels")
+    more = bucket_links(plain, nodes, labels, percent)
+    if more is not None:
+        joined = components.connected(common.settle(more, "links")).select(F.col("v").alias("label"), "root")
+        labels = labels.join(joined, "label", "left").select("node", F.coalesce("root", "label").alias("root"))
+    else:
+        labels = labels.select("node", F.col("label").alias("root"))
+    return every.select("doc_id", "text_hash", "n_shingles", "node"), nodes.select("node", "first_id", "first_hash", "n_rows"), common.settle(labels, "members")
+
+
 def cluster(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row; links need ``percent`` % similarity."""
-    plain = common.texts(docs, id_col, text_col)
-    every = common.settle(signed(plain, percent), "signed")
-    first = every.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
-    nodes = common.settle(first, "nodes")
-    families = components.connected(star_edges(nodes))
-    joined = components.connected(links(plain, nodes.select("node", "n", "first_id"), families, percent))
-    named = joined.withColumnRenamed("v", "node").join(nodes.select("node", "first_id"), "node")
+    every, nodes, members = components_of(hashed(docs, id_col, text_col), percent)
+    named = members.join(nodes.select("node", "first_id"), "node")
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    members = named.join(least, "root").select("node", "component_id")
-    place = nodes.select("node", "first_id").join(members, "node", "left").select("node", F.coalesce("component_id", "first_id").alias("component_id"))
+    place = nodes.select("node", "first_id").join(members, "node", "left").join(least, "root", "left").select("node", F.coalesce("component_id", "first_id").alias("component_id"))
     out = every.select("doc_id", "n_shingles", "node").join(place, "node", "left")
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"))
 
 
-def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """``docs`` with one document of each component, all columns kept.
+def keep_one(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, all columns kept.
 
-    Rows that share a kept doc_id are reduced to one as well; rows with a null id all stay
-    if one of them does. Texts aren't shuffled as long as the ids to drop can be broadcast:
-    they are what is looked up, and they are counted first. Of texts, only those of shared
-    ids are shuffled then; with more ids than the bound, all are.
+    Rows are told apart by id and text, so rows that share an id but not a text are judged
+    each by its own text. The row with the least id stays (a null id counts last, then the
+    text's hash decides); of rows that repeat its id and text one stays. Rows without words
+    all stay. Texts aren't shuffled as long as what is to drop can be broadcast: it is
+    what is looked up, and it is counted first.
     """
-    counted = cluster(docs, percent).groupBy(F.col("doc_id").alias("__id")).agg(F.sum(F.col("kept").cast("int")).alias("__kept"), F.count("*").alias("__rows"))
-    marked = common.settle(counted.filter("__kept = 0 or (__rows > 1 and __id is not null)"), "dropped")
-    gone = F.broadcast(marked) if marked.count() <= BROADCAST_IDS else marked
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))
-    rest = docs.join(gone, same, "left_anti")
-    shared = marked.filter("__kept > 0")
-    if not shared.limit(1).count():
+    every, nodes, members = components_of(hashed(docs, id_col, text_col), percent)
+    rooted = nodes.join(members, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "first_id", "first_hash", "n_rows")
+    first = F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "first_hash")).alias("f")
+    best = rooted.groupBy("root").agg(first, F.sum("n_rows").alias("rows")).filter("rows > 1").select("root", F.col("f.first_id").alias("best_id"), F.col("f.first_hash").alias("best_hash"))
+    place = rooted.join(best, "root").select("node", "best_id", "best_hash")
+    counted = every.groupBy("doc_id", "text_hash", "node").agg(F.count("*").alias("rows")).join(place, "node")
+    mine = F.col("doc_id").eqNullSafe(F.col("best_id")) & (F.col("text_hash") == F.col("best_hash"))
+    gone_id, gone_hash, own = common.fresh(docs.columns, "gone_id", "gone_hash", "own_row")
+    marked = common.settle(counted.filter(~mine | (F.col("rows") > 1)).select(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_hash), mine.alias(own)), "dropped")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(gone_id)) & (F.xxhash64(F.col(text_col).cast("string")) == F.col(gone_hash))
+    rest = docs.join(F.broadcast(marked) if marked.count() <= BROADCAST_IDS else marked, same, "left_anti")
+    repeated = marked.filter(own)
+    if not repeated.limit(1).count():
         return rest
-    return rest.unionByName(docs.join(shared, same, "left_semi").dropDuplicates(["doc_id"]))
+    whole = F.struct(*docs.columns)
+    picked = docs.join(repeated, same).groupBy(gone_id, gone_hash).agg(F.min_by(whole, F.xxhash64(F.to_json(whole))).alias(own))
+    return rest.unionByName(picked.select(f"{own}.*"))

@@ -6,7 +6,9 @@ pairs that a merge made stale are skipped when popped. The count is the number o
 initial byte symbols less the number of merges.
 
 Defined results: null text counts as empty (0 bytes, 0 tokens); repeated rows give
-repeated rows; an empty table gives an empty result; extra columns are ignored.
+repeated rows; an empty table gives an empty result; extra columns are ignored; a very
+long text is counted whole, in time that grows with its length (a single pre-token of n
+bytes takes n log n) and memory of its longest pre-token beside the text itself.
 """
 
 from __future__ import annotations
@@ -42,6 +44,9 @@ class MergeCounter:
         import regex
 
         spec = json.loads(content)
+        pre = spec.get("pre_tokenizer") or {}
+        if spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) or spec["model"].get("ignore_merges"):
+            raise ValueError("only byte-level vocabularies with the pattern of this module, without a normaliser, are counted")
         ids = {s: i for i, s in enumerate(byte_alphabet())}
         self.rules: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, merge in enumerate(spec["model"]["merges"]):
@@ -55,6 +60,7 @@ class MergeCounter:
         self.white_run = regex.compile(r" \s").search
         self.words: dict[str, int] = {}
         self.chunks: dict[str, int] = {}
+        self.weight = 0
 
     def merged(self, word: str) -> int:
         """Tokens of one pre-token."""
@@ -97,6 +103,7 @@ class MergeCounter:
             count = words.get(word)
             if count is None:
                 count = words[word] = self.merged(word)
+                self.weight += vocab.ENTRY + len(word)
             total += count
         return total
 
@@ -119,15 +126,16 @@ class MergeCounter:
                 count = chunks.get(c)
                 if count is None:
                     count = chunks[c] = self._pre_tokenised(" " + c)
+                    self.weight += vocab.ENTRY + len(c)
                 total += count
             return total
 
     def count(self, text: str) -> int:
         """Tokens of a text; special strings count one each, as the library takes them."""
-        if len(self.words) > vocab.MEMORY:
+        if self.weight > vocab.MEMORY:
             self.words.clear()
-        if len(self.chunks) > vocab.MEMORY:
             self.chunks.clear()
+            self.weight = 0
         if self.special and any(m in text for m in self.marks):
             return len(self.special.findall(text)) + sum(self._plain(part) for part in self.special.split(text))
         return self._plain(text)
@@ -140,9 +148,9 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 1024, id_col: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = common.held(f"merges {hash(rules.value)}", lambda: MergeCounter(rules.value))
         for batch in batches:
-            bodies = [x or "" for x in batch.column(1).to_pylist()]
-            counts = pa.array([counter.count(x) for x in bodies], pa.int64())
-            sizes = pa.array([len(x.encode("utf-8")) for x in bodies], pa.int64())
+            bodies = pa.compute.fill_null(batch.column(1), "")
+            counts = pa.array([counter.count(x.as_py()) for x in bodies], pa.int64())
+            sizes = pa.compute.binary_length(bodies).cast(pa.int64())
             over = pa.compute.greater(counts, limit)
             yield pa.RecordBatch.from_arrays([batch.column(0), sizes, counts, over], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 

@@ -13,8 +13,10 @@ from lodegrain.llm import common
 # A task has one core: the library's own thread pool would only spin on the others'.
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Remembered chunks of a worker; past this the memory starts anew.
-MEMORY = 600_000
+#: Bytes that a worker's remembered chunks may take, about; past this the memory starts anew.
+MEMORY = 64 << 20
+#: Bytes of a remembered chunk beside its characters and ids.
+ENTRY = 180
 
 
 def read_file(path: str) -> str:
@@ -56,6 +58,7 @@ class WordIds:
         for token, i in self.library.get_vocab().items():
             self.ends[i] = bool(suffix) and token.endswith(suffix)
         self.known: dict[str, bytes] = {}
+        self.weight = 0
 
     def _library_ids(self, items: list[str]) -> list[bytes]:
         import numpy as np
@@ -81,9 +84,10 @@ class WordIds:
         words, other, made = set(), set(), []
         for chunk in chunks:
             head = chunk.rstrip(".,!#$%&*|")
-            if head and head.isalpha() and max(head) < "ɐ":
+            plain = head.isascii()
+            # Lower-casing may leave a mark that belongs to what follows: then the chunk isn't cut.
+            if head and head.isalpha() and max(head) < "ɐ" and (plain or head.lower().isalpha()):
                 tail = chunk[len(head) :]
-                plain = head.isascii()
                 low = head.lower() if plain else head
                 if low not in known:
                     if plain:
@@ -109,14 +113,17 @@ class WordIds:
         """Ids of each text as little-endian bytes of ``dtype``."""
         if not self.by_chunk:
             return self._library_ids(bodies)
-        if len(self.known) > MEMORY:
+        if self.weight > MEMORY:
             self.known.clear()
+            self.weight = 0
         known, out = self.known, []
         for body in bodies:
             chunks = body.replace("\n", " ").split(" ")
             unseen = [c for c in chunks if c not in known]
             if unseen:
+                before = len(known)
                 self._learn(set(unseen))
+                self.weight += ENTRY * (len(known) - before) + 3 * sum(map(len, unseen))
             out.append(b"".join([known[c] for c in chunks]))
         return out
 

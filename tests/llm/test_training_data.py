@@ -82,7 +82,7 @@ def test_code_lengths_are_those_of_the_tree():
                 g = int.from_bytes(t[i - 3 : i + 1], "big")
                 grams[g] = grams.get(g, 0) + 1
         counts[lang] = (np.array(list(grams)), np.array(list(grams.values())))
-    model = language_id.CodeLengths(counts, min_context=1)
+    model = language_id.CodeLengths(counts)
 
     def walked(lang, text):
         table = {}
