@@ -7,8 +7,8 @@ frame energies: a segment opens above the upper level and closes below the lower
 log-mel frames are dealt into patches of a fixed shape, the last one padded with its floor,
 each with the time span it covers.
 
-All steps see whole recordings; frames are computed in blocks, so memory doesn't grow with
-a recording's length beyond its bytes and its features.
+All steps see whole recordings; samples are converted, resampled and turned into frames in
+blocks, so memory doesn't grow with a recording's length beyond its bytes and its features.
 
 Defined results: a null or empty payload is stored as the least padded payload; equal
 payloads have equal values; repeated rows repeat; an empty table gives an empty result;
@@ -18,6 +18,7 @@ extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 import struct
 import zlib
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ UP, DOWN, TAPS = 2, 3, 24
 WINDOW, HOP, BANDS = 256, 128, 24
 PATCH = (32, BANDS)
 #: Frames computed at once.
-BLOCK = 8192
+BLOCK = 2048
 
 
 def to_wav(samples: bytes, rate: int = RATE) -> bytes:
@@ -86,23 +87,33 @@ def mel_bank() -> np.ndarray:
     return np.maximum(0, np.minimum(rise, fall)).astype(np.float32)
 
 
-def resample(samples: np.ndarray) -> np.ndarray:
-    """Polyphase: each block of DOWN inputs gives UP outputs, one for each row of taps."""
-    padded = np.concatenate([np.zeros(TAPS // 2 - 1, np.float32), samples, np.zeros(TAPS, np.float32)])
-    blocks = np.lib.stride_tricks.sliding_window_view(padded, TAPS)[: len(samples) : DOWN]
-    return np.concatenate([(blocks[at : at + BLOCK] @ phases().T).ravel() for at in range(0, max(1, len(blocks)), BLOCK)])
+def resample(samples: np.ndarray, first: int = 0, last: int | None = None) -> np.ndarray:
+    """Polyphase: each block of DOWN inputs gives UP outputs, one for each row of taps.
 
+    Blocks ``first`` to ``last`` of a recording (8-bit samples, or numbers as they are) are resampled.
+    """
+    last = -(-len(samples) // DOWN) if last is None else last
+    a, b = first * DOWN - (TAPS // 2 - 1), last * DOWN + TAPS
+    part = samples[max(0, a) : max(0, b)]
+    part = (part.astype(np.float32) - 128) / 128 if samples.dtype == np.uint8 else part
+    padded = np.pad(part, (max(0, -a), max(0, b - max(0, a) - len(part))))
+    blocks = np.lib.stride_tricks.sliding_window_view(padded, TAPS)[: (last - first) * DOWN : DOWN]
+    return (blocks @ phases().T).ravel()
 
-def log_mel(signal: np.ndarray) -> np.ndarray:
-    """(frames, BANDS) log10 energies of overlapped windows; a short signal is one padded frame."""
-    if len(signal) < WINDOW:
-        signal = np.pad(signal, (0, WINDOW - len(signal)))
-    frames = np.lib.stride_tricks.sliding_window_view(signal, WINDOW)[::HOP]
+
+def log_mel(samples: np.ndarray) -> np.ndarray:
+    """(frames, BANDS) log10 energies of overlapped windows of the resampled recording; a short one is one padded frame."""
+    inputs = -(-len(samples) // DOWN)
+    n = max(1, 1 + (inputs * UP - WINDOW) // HOP)
     hann = np.hanning(WINDOW + 1)[:-1].astype(np.float32)
-    out = np.empty((len(frames), BANDS), np.float32)
-    for at in range(0, len(frames), BLOCK):
-        power = np.abs(np.fft.rfft(frames[at : at + BLOCK] * hann, axis=1)) ** 2
-        out[at : at + BLOCK] = np.log10(power.astype(np.float32) @ mel_bank() + 1e-6)
+    out = np.empty((n, BANDS), np.float32)
+    for at in range(0, n, BLOCK):
+        end = min(at + BLOCK, n)
+        signal = resample(samples, at * HOP // UP, min(inputs, ((end - 1) * HOP + WINDOW) // UP))
+        signal = np.pad(signal, (0, max(0, WINDOW - len(signal))))
+        frames = np.lib.stride_tricks.sliding_window_view(signal, WINDOW)[::HOP][: end - at]
+        power = np.abs(np.fft.rfft(frames * hann, axis=1)) ** 2
+        out[at:end] = np.log10(power.astype(np.float32) @ mel_bank() + 1e-6)
     return out
 
 
@@ -122,8 +133,7 @@ def segments(energy: np.ndarray, upper: float = 0.5, lower: float = 0.25) -> lis
 
 def features(samples: bytes, rate: int = RATE) -> tuple[np.ndarray, np.ndarray, list[tuple[float, float]]]:
     """(patches, their time spans, active time spans) of a recording."""
-    signal = (np.frombuffer(samples, np.uint8).astype(np.float32) - 128) / 128
-    mel = log_mel(resample(signal))
+    mel = log_mel(np.frombuffer(samples, np.uint8))
     step = HOP * DOWN / UP / rate
     active = [(a * step, b * step) for a, b in segments(mel.mean(1))]
     n = -(-len(mel) // PATCH[0])
@@ -138,9 +148,10 @@ def tensor_column(patches: np.ndarray) -> pa.ExtensionArray:
     return pa.FixedShapeTensorArray.from_numpy_ndarray(np.ascontiguousarray(patches))
 
 
-def tensor_batch(patches: np.ndarray, spans: np.ndarray) -> pa.RecordBatch:
-    """Patches with the seconds that each covers."""
-    return pa.RecordBatch.from_arrays([tensor_column(patches), pa.array(spans[:, 0]), pa.array(spans[:, 1])], ["log_mel", "t_start", "t_end"])
+def tensor_batch(patches: np.ndarray, spans: np.ndarray, active: list[tuple[float, float]] = ()) -> pa.RecordBatch:
+    """Patches with the seconds that each covers; the active time spans go with the schema."""
+    batch = pa.RecordBatch.from_arrays([tensor_column(patches), pa.array(spans[:, 0]), pa.array(spans[:, 1])], ["log_mel", "t_start", "t_end"])
+    return batch.replace_schema_metadata({"active": json.dumps([list(x) for x in active])})
 
 
 def pack_tensors(batch: pa.RecordBatch) -> bytes:
@@ -156,6 +167,11 @@ def unpack_tensors(stream: bytes) -> tuple[np.ndarray, np.ndarray]:
     return batch.column(0).to_numpy_ndarray(), np.column_stack([batch.column(1), batch.column(2)])
 
 
+def unpack_active(stream: bytes) -> list[tuple[float, float]]:
+    """The active time spans of a tensor batch written as a stream."""
+    return [tuple(x) for x in json.loads(pa.ipc.open_stream(stream).schema.metadata[b"active"])]
+
+
 def payload(text: str | None) -> tuple[bytes, int]:
     """UTF-8 bytes padded with spaces to a positive multiple of 192, and their size before."""
     raw = (text or "").encode("utf-8")
@@ -170,11 +186,11 @@ def summary(patches: np.ndarray, active: list[tuple[float, float]]) -> str:
 
 def feature(samples: bytes, rate: int) -> str:
     """The summary of a recording's tensors and time spans, as they are read back from their stream."""
-    patches, spans, active = features(samples, rate)
-    back, times = unpack_tensors(pack_tensors(tensor_batch(patches, spans)))
-    if len(times) != len(back) or not np.array_equal(times, spans):
-        raise ValueError("time spans were not read back as written")
-    return summary(back, active)
+    stored = pack_tensors(tensor_batch(*features(samples, rate)))
+    patches, spans = unpack_tensors(stored)
+    if len(spans) != len(patches):
+        raise ValueError("every tensor has its time span")
+    return summary(patches, unpack_active(stored))
 
 
 SCHEMA = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
@@ -209,7 +225,7 @@ def extract(media: DataFrame, id_col: str = "doc_id", media_col: str = "media")
                 samples, rate = from_wav(body if body is not None else to_wav(payload(None)[0]))
                 patches, spans, active = features(samples or b"\x80", rate)
                 row = [{"t_start": a, "t_end": b} for a, b in active]
-                yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.array([pack_tensors(tensor_batch(patches, spans))], pa.binary()), pa.array([row], kind)], ["doc_id", "tensors", "active"])
+                yield pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), pa.array([pack_tensors(tensor_batch(patches, spans, active))], pa.binary()), pa.array([row], kind)], ["doc_id", "tensors", "active"])
 
     return common.map_batches(media.selectExpr(f"cast(`{id_col}` as long) doc_id", f"`{media_col}` media"), run, TENSORS)
 

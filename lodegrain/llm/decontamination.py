@@ -6,12 +6,14 @@ keyed by a 64-bit hash, and the windows of the documents are looked up in it; a
 hash counts only if all words are equal. Document windows stream through the look-up
 within their stage: nothing is shuffled but one row for each document and each hit.
 
-The table is broadcast only up to ``broadcast_rows`` windows; a larger benchmark is joined
-by shuffling, with the same result.
+The table is broadcast only if its bytes, counted first, are at most ``broadcast_bytes``;
+windows of a larger benchmark are joined by shuffling, with the same result. Each document
+window then carries its own words, so what is shuffled is in proportion to the text.
 
 Defined results: null or empty text has no words and no hits; items without words have no
 windows; repeated rows are each judged; an empty table gives an empty result, an empty
-benchmark leaves all clean; extra columns are kept by ``clean`` and ignored by ``hits``.
+benchmark leaves all clean; extra columns, whatever their names, are kept by ``clean`` and
+ignored by ``hits``; a very long text is looked up whole, its windows streaming by.
 """
 
 from __future__ import annotations
@@ -24,8 +26,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Fixed value: what stands between words, after A-Z were lowered.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 N = 13
-#: A window's words take some 200 bytes: the table stays below about 200 MB.
-BROADCAST_ROWS = 1_000_000
+#: Windows are broadcast up to so many bytes, about, and shuffled beyond.
+WINDOW_BYTES = 128 << 20
 #: Hits that ``clean`` joins back are broadcast up to so many bytes, and shuffled beyond.
 BROADCAST_BYTES = 64 << 20
 
@@ -52,15 +54,17 @@ def windows(benchmark: DataFrame, n: int = N, item_col: str = "item_id", text_co
     return hashed.select("n_words", window_hash(F.col("w_hashes"), F.lit(0), n).alias("w_hash"), "w_words", "items")
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, n: int = N, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS, keys: tuple[str, ...] = ()) -> DataFrame:
+def hits(docs: DataFrame, benchmark: DataFrame, n: int = N, id_col: str = "doc_id", text_col: str = "text", broadcast_bytes: int = WINDOW_BYTES, keys: tuple[str, ...] = ()) -> DataFrame:
     """For each row of ``docs``: doc_id, keys, n_words, n_hit, hit_words (0-based places), items (sorted ids as strings).
 
     ``row`` tells rows of equal ids apart within this result.
     """
-    table = windows(benchmark, n)
-    shape = {r[0]: r[1] for r in table.groupBy("n_words").count().collect()}  # at most n rows
-    lengths = sorted(shape) or [n]
-    table = F.broadcast(table) if sum(shape.values()) <= broadcast_rows else table
+    table = common.settle(windows(benchmark, n), "windows")
+    size = F.sum(2 * F.octet_length(F.to_json(F.struct("w_words", "items"))) + 24 * F.col("n_words") + 64)
+    shape = table.groupBy("n_words").agg(size).collect()  # at most n rows
+    lengths = sorted(r[0] for r in shape) or [n]
+    small = sum(r[1] for r in shape) <= broadcast_bytes
+    table = F.broadcast(table) if small else table
     kept = ["row", "doc_id", *keys]
     read = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), *keys, words(F.col(text_col)).alias("d_words"))
     hashed = read.select(*kept, "d_words", F.transform("d_words", lambda w: F.xxhash64(w)).alias("d_hashes"))
@@ -68,15 +72,22 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = N, id_col: str = "doc_i
     def of(k: int) -> Column:
         # One entry more than there are windows, so that each document has a row at least.
         ends = F.greatest(F.size("d_hashes") - k + 1, F.lit(0))
-        return F.transform(F.sequence(F.lit(0), ends), lambda i: F.struct(i.alias("at"), F.lit(k).alias("n"), window_hash(F.col("d_hashes"), i, k).alias("d_hash")))
+
+        def window(i: Column) -> Column:
+            words = [] if small else [F.slice("d_words", i + 1, F.lit(k)).alias("own_words")]
+            return F.struct(i.alias("at"), F.lit(k).alias("n"), window_hash(F.col("d_hashes"), i, k).alias("d_hash"), *words)
+
+        return F.transform(F.sequence(F.lit(0), ends), window)
 
     placed = of(lengths[0]) if len(lengths) == 1 else F.concat(*[of(k) for k in lengths])
+    carried = [*kept, "d_words"] if small else [*kept, F.size("d_words").alias("d_size")]
     # The outer form, as for the other Spark infers a filter that works out all windows again for each word.
-    spread = hashed.select(*kept, "d_words", placed.alias("d_windows")).select(*kept, "d_words", F.inline_outer("d_windows"))
+    spread = hashed.select(*carried, placed.alias("d_windows")).select("*", F.inline_outer("d_windows")).drop("d_windows")
+    own_words = F.slice("d_words", F.col("at") + 1, F.col("n")) if small else F.col("own_words")
     # Lengths are compared too: the entry past the end holds fewer words than n, and may equal a shorter item.
-    same = (F.col("n") == F.col("w_n")) & (F.col("d_hash") == F.col("w_hash")) & (F.slice("d_words", F.col("at") + 1, F.col("n")) == F.col("w_words"))
+    same = (F.col("n") == F.col("w_n")) & (F.col("d_hash") == F.col("w_hash")) & (own_words == F.col("w_words"))
     found = spread.join(table.withColumnRenamed("n_words", "w_n"), same, "left").filter(F.col("w_hash").isNotNull() | ((F.col("at") == 0) & (F.col("n") == lengths[0])))
-    found = found.select(*kept, F.size("d_words").cast("long").alias("n_words"), F.when(F.col("w_hash").isNotNull(), F.struct("at", "n")).alias("hit"), "items")
+    found = found.select(*kept, (F.size("d_words") if small else F.col("d_size")).cast("long").alias("n_words"), F.when(F.col("w_hash").isNotNull(), F.struct("at", "n")).alias("hit"), "items")
     grouped = found.groupBy(*kept).agg(F.max("n_words").alias("n_words"), F.collect_set("hit").alias("hits"), F.flatten(F.collect_set("items")).alias("items"))
     covered = F.array_sort(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["at"], h["at"] + h["n"] - 1)))))
     items = F.array_sort(F.array_distinct(F.transform("items", lambda x: x.cast("string"))))
@@ -102,18 +113,18 @@ def clean(docs: DataFrame, benchmark: DataFrame, n: int = N, id_col: str = "doc_
 
     Hits are joined back by id and text hash, and only rows with hits are rebuilt.
     """
-    found = hits(docs.withColumn("__text_hash", F.xxhash64(text_col)), benchmark, n, id_col, text_col, keys=("__text_hash",), **options).filter("n_hit > 0")
-    found = found.dropDuplicates(["doc_id", "__text_hash"]).select(
-        F.col("doc_id").alias("__id"), F.col("__text_hash").alias("__hash"), F.col("hit_words").alias("__hits"), contaminated().alias("__bad")
-    )
-    found = common.settle(found, "hits")
-    size = found.agg(F.count("*"), F.sum(F.size("__hits"))).first()
+    plain = common.texts(docs, id_col, text_col).withColumn("text_hash", F.xxhash64("text"))
+    hit_id, hit_hash, hit_words, hit_bad = common.fresh(docs.columns, "hit_id", "hit_hash", "hit_words", "hit_bad")
+    found = hits(plain, benchmark, n, keys=("text_hash",), **options).filter("n_hit > 0").dropDuplicates(["doc_id", "text_hash"])
+    found = common.settle(found.select(F.col("doc_id").alias(hit_id), F.col("text_hash").alias(hit_hash), F.col("hit_words").alias(hit_words), contaminated().alias(hit_bad)), "hits")
+    size = found.agg(F.count("*"), F.sum(F.size(hit_words))).first()
     found = F.broadcast(found) if 40 * size[0] + 4 * (size[1] or 0) <= BROADCAST_BYTES else found
     text = F.col(text_col)
-    joined = docs.join(found, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__hash")), "left").filter(~F.coalesce("__bad", F.lit(False)))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(hit_id)) & (F.xxhash64(text.cast("string")) == F.col(hit_hash))
+    joined = docs.join(found, same, "left").filter(~F.coalesce(F.col(hit_bad), F.lit(False)))
     word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
     pieces = F.regexp_extract_all(text, F.lit(f"{word}[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]*"), F.lit(0))
     lead = F.regexp_extract(text, r"^[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*", 0)
-    rest = F.filter(F.arrays_zip(pieces.alias("piece"), F.sequence(F.lit(0), F.size(pieces)).alias("at")), lambda x: x["piece"].isNotNull() & ~F.array_contains(F.col("__hits"), x["at"]))
+    rest = F.filter(F.arrays_zip(pieces.alias("piece"), F.sequence(F.lit(0), F.size(pieces)).alias("at")), lambda x: x["piece"].isNotNull() & ~F.array_contains(F.col(hit_words), x["at"]))
     cut = F.concat(lead, F.array_join(F.transform(rest, lambda x: x["piece"]), ""))
-    return joined.withColumn(text_col, F.when(F.col("__hits").isNotNull(), cut).otherwise(text)).select(*docs.columns)
+    return joined.withColumn(text_col, F.when(F.col(hit_words).isNotNull(), cut).otherwise(text)).select(*docs.columns)

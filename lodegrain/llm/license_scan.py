@@ -16,7 +16,8 @@ directory's size doesn't matter.
 Defined results: null text counts as empty and has no statement; a null path is the root;
 ties go to the license that sorts first; two licence files of a directory give it the
 better score's, then the one that sorts first; repeated rows repeat; an empty table gives
-an empty result; extra columns are ignored.
+an empty result; extra columns are ignored; of a very long text all parts that speak of
+licensing are compared, in time in proportion to its length.
 """
 
 from __future__ import annotations

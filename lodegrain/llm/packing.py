@@ -11,7 +11,8 @@ dealt by that key into salted groups of bounded size, ranked there, and shifted
 sizes of the groups before.
 
 Defined results: null text counts as empty and yields the end id alone; repeated rows
-are packed separately; an empty table gives an empty result; extra columns are ignored.
+are packed separately; an empty table gives an empty result; extra columns are ignored; a
+very long text is cut into as many full pieces as it fills, and a rest.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ posterior probability of class 1.
 Defined results: null text counts as empty and is described like any other; labels that
 are null or other than 0 and 1 are left out; without rows of both classes the score is the
 share of class 1 among the labels (0.5 without labels); repeated rows repeat; an empty
-table gives an empty result; extra columns are ignored.
+table gives an empty result; extra columns are ignored; a very long text is described
+whole, in time in proportion to its length.
 """
 
 from __future__ import annotations
@@ -99,22 +100,23 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = 3000, label_col:
     """Learn from the labelled rows of ``docs``, about ``per_class`` of each class chosen by a hash of the id.
 
     The sample's bound is a parameter: only the statistics of at most so many rows come
-    to the driver, at any corpus size.
+    to the driver, at any corpus size. Of rows that repeat an id, one is learnt from: that
+    with the least statistics.
     """
-    valid = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)")
+    valid = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter("doc_id is not null and y in (0, 1)").distinct()
     ranked = F.xxhash64(F.lit("quality"), "doc_id")
     chosen = None
     for k in (0, 1):
         part = valid.filter(F.col("y") == k).orderBy(ranked, "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionAll(part)
-    rows = common.texts(docs).join(F.broadcast(chosen), "doc_id").select("text", "y")  # at most twice per_class rows of two numbers
+    rows = common.texts(docs).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")  # at most twice per_class rows of two numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = [statistics(t or "") for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], ["x", "y"])
+            x = [statistics(t or "") for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64())), batch.column(2)], ["doc_id", "x", "y"])
 
-    got = common.map_batches(rows, run, "x array<double>, y int").toPandas()
+    got = common.map_batches(rows, run, "doc_id long, x array<double>, y int").groupBy("doc_id", "y").agg(F.min("x").alias("x")).toPandas()
     # In an order of their own, as sums of floats depend on it.
     both = sorted(zip(map(tuple, got["x"]), got["y"]))
     x = np.array([a for a, _ in both], float).reshape(len(both), len(FEATURES))

@@ -1,14 +1,17 @@
 """Token ids as Arrow files of equal-length sequences, written and read back.
 
-Documents are range partitioned by ``doc_id``; each partition streams one shard: an
+Documents are range partitioned by ``doc_id`` (rows of one id by their texts' hashes) into
+shards of about equal bytes; each partition streams one shard: an
 Arrow IPC file whose batches hold ``input_ids`` and ``mask`` as fixed-size lists, so
 sequence *k* is found by arithmetic and read without a copy from a memory map, and an
 index file with each document's place in the shard. Files appear under their final name
-only when whole, so a repeated or doubled task leaves the same files.
+only when whole, so a repeated or doubled task leaves the same files; what a failed one
+began is removed.
 
 Defined results: null text counts as empty and yields the end id alone; a null doc_id
 sorts first; repeated rows are written again, those of one doc_id in the order of their
-texts' hashes; an empty table gives an empty result; extra columns are ignored.
+texts' hashes; an empty table gives an empty result; extra columns are ignored; a very
+long text is one document over as many sequences and batches as it needs.
 """
 
 from __future__ import annotations
@@ -25,6 +28,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from lodegrain.llm import common, vocab
 
 MANIFEST = "shard long, sequences string, index string, docs long, tokens long"
+#: Text bytes of a shard, and how many shards (and tasks) there are about at most: beyond, shards grow.
+SHARD_BYTES, MOST_SHARDS = 32 << 20, 40_000
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
@@ -73,6 +78,13 @@ class ShardWriter:
         for kind in (".arrow", ".index"):
             self.fs.move(self.base + kind + self.attempt, self.base + kind)
 
+    def abandon(self) -> None:
+        """Remove what this attempt has written."""
+        self.out.close()
+        for kind in (".arrow", ".index"):
+            if self.fs.get_file_info(self.base + kind + self.attempt).is_file:
+                self.fs.delete_file(self.base + kind + self.attempt)
+
 
 def filesystem(uri: str):
     """(file system, path in it) of a URI or a plain local path."""
@@ -90,13 +102,14 @@ def open_file(uri: str):
     return pa.ipc.open_file(source)
 
 
-def write(docs: DataFrame, folder: str, vocabulary: str, length: int = 2048, end_id: int = 1, docs_per_shard: int = 8192, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def write(docs: DataFrame, folder: str, vocabulary: str, length: int = 2048, end_id: int = 1, shard_bytes: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the shards of ``docs`` below ``folder``; returns their manifest, already settled."""
     spark = docs.sparkSession
     content = spark.sparkContext.broadcast(vocab.read_file(vocabulary))
     plain = common.texts(docs, id_col, text_col)
-    shards = max(1, -(-plain.count() // docs_per_shard))
-    dealt = plain.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-total // max(shard_bytes, total // MOST_SHARDS)))
+    dealt = plain.repartitionByRange(shards, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -104,18 +117,30 @@ def write(docs: DataFrame, folder: str, vocabulary: str, length: int = 2048, end
         encoder, writer = vocab.word_ids(content.value), None
         end, shard = np.array([end_id], encoder.dtype), TaskContext.get().partitionId()
         store, path = filesystem(folder)
-        for batch in batches:
-            for ids, bodies in common.slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                writer = writer or ShardWriter(store, f"{path}/shard-{shard:07d}", encoder.dtype, length)
-                for doc_id, raw in zip(ids, encoder.encode([b or "" for b in bodies])):
-                    writer.add(doc_id, np.concatenate([np.frombuffer(raw, encoder.dtype), end]))
+        try:
+            for batch in batches:
+                for ids, bodies in common.slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                    writer = writer or ShardWriter(store, f"{path}/shard-{shard:07d}", encoder.dtype, length)
+                    for doc_id, raw in zip(ids, encoder.encode([b or "" for b in bodies])):
+                        writer.add(doc_id, np.concatenate([np.frombuffer(raw, encoder.dtype), end]))
+            if writer:
+                writer.close()
+        except BaseException:
+            if writer:
+                writer.abandon()
+            raise
         if writer:
-            writer.close()
             base = f"{folder}/shard-{shard:07d}"
             row = [[shard], [base + ".arrow"], [base + ".index"], [len(writer.docs)], [writer.tokens]]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in row], [f.split()[0] for f in MANIFEST.split(", ")])
 
-    return common.settle(common.map_batches(dealt, run, MANIFEST), "manifest")
+    manifest = common.settle(common.map_batches(dealt, run, MANIFEST), "manifest")
+    # Attempts that ended with their executor couldn't tidy up.
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for left in fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/shard-*.part")) or ():
+        fs.delete(left.getPath(), False)
+    return manifest
 
 
 def read(manifest: DataFrame) -> DataFrame:

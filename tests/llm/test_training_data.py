@@ -177,7 +177,7 @@ def test_decontamination_is_brute_force(spark):
     docs = [(0, passage.upper()), (1, f"{prose(51, 300)} {passage}!! {prose(52, 400)}"), (2, "a one, short item? b"), (3, None), (4, ""), (5, passage[10:]), (6, "clean words only"), (0, passage.upper()), (7, " ".join([passage] * 3)), (8, "über one short item é")]
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     assert by_row(decontamination.report(d, b)) == sorted(brute_report(docs, items))
-    assert by_row(decontamination.report(d, b, broadcast_rows=0)) == sorted(brute_report(docs, items))
+    assert by_row(decontamination.report(d, b, broadcast_bytes=-1)) == sorted(brute_report(docs, items))
 
 
 def test_clean_cuts_passages_and_keeps_the_rest(spark):
@@ -238,7 +238,7 @@ def test_token_files_round_trip(spark, folder, tmp_path):
 
     library = Tokenizer.from_file(queries.vocabulary("word_bpe_49k.json"))
     docs = spark.read.parquet(f"{folder}/full/documents.parquet")
-    manifest = token_files.write(docs, f"file://{tmp_path}", queries.vocabulary("word_bpe_49k.json"), docs_per_shard=5)
+    manifest = token_files.write(docs, f"file://{tmp_path}", queries.vocabulary("word_bpe_49k.json"), shard_bytes=60_000)
     got = token_files.read(manifest).collect()
     at = 0
     for r in sorted(got, key=lambda r: r["start"]):
