@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lodegrain.session import ship
@@ -34,24 +35,23 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 BATCH_ROWS, BATCH_BYTES = 2000, 4 << 20
 
 _held: dict[str, object] = {}
+_stage: list[int] = []
 
 
-#: Large objects of a worker: what the operators of one stage may need side by side.
-HELD = 2
+def new_stage() -> None:
+    """Let go of what this worker holds from an earlier stage, so that what operators remember doesn't add up."""
+    context = TaskContext.get()
+    stage = context.stageId() if context else -1
+    if [stage] != _stage:
+        _stage[:] = [stage]
+        _held.clear()
 
 
 def held(label: str, make: Callable[[], object]):
-    """A worker's large object, made when first asked for.
-
-    Workers are reused by later stages. Only the objects last asked for stay, so what
-    operators remember doesn't add up, and two operators in one stage keep one each.
-    """
-    if label in _held:
-        _held[label] = _held.pop(label)
-        return _held[label]
-    while len(_held) >= HELD:
-        del _held[next(iter(_held))]
-    _held[label] = make()
+    """A worker's large object, made when first asked for and kept for the stage."""
+    new_stage()
+    if label not in _held:
+        _held[label] = make()
     return _held[label]
 
 
@@ -71,7 +71,12 @@ def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator
     """``mapInArrow`` after the package was shipped, in small batches."""
     ship(df.sparkSession)
     small_batches(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new_stage()
+        yield from fn(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def map_texts(df: DataFrame, text_col: str, fn: Callable[[list[str | None]], list], kind: str) -> Column:
@@ -81,6 +86,7 @@ def map_texts(df: DataFrame, text_col: str, fn: Callable[[list[str | None]], lis
     types = {"double": pa.float64(), "string": pa.string()}
 
     def run(column: pa.Array) -> pa.Array:
+        new_stage()
         bodies = column.to_pylist()
         out: list = []
         for _, part in slices(bodies, bodies):

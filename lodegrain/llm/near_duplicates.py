@@ -9,12 +9,14 @@
 3. Each node is held against one centre on full sets: the one with which it shares most
    bands. That is one pair for each node, and it settles the groups whose members resemble
    their centre, however large they are.
-4. Buckets whose nodes are in more than one component by then are looked at as a whole, once
+4. Buckets whose nodes are in more than one component by then are looked at again, once
    for each distinct set of members: a link may join two members that don't resemble their
-   centre. Only pairs within such a bucket and of different components are compared, those
-   that sizes and signatures don't rule out on full sets. Buckets of any size are cut into
-   blocks of bounded size by set size; each task has one pair of blocks and returns a
-   spanning forest of its links. No pair outside a bucket is compared.
+   centre. Buckets that overlap so much that comparing their union takes fewer pairs than
+   comparing each are compared as one unit, others each by itself. Within a unit only pairs
+   of different components are compared, those that sizes and signatures don't rule out on
+   full sets; members of the commonest component meet only those of others. Units of any
+   size are cut into blocks of bounded size; each task has one pair of blocks and returns a
+   spanning forest of its links.
 5. The links' components get their smallest doc_id.
 
 At a similarity of 0.85 two sets share no band with probability below 4e-5 (32 bands of
@@ -43,7 +45,7 @@ BINS, ROWS = 256, 8
 #: Two sets of the similarity asked for share no band with a probability of at most this.
 MISS = 1e-4
 WORDS = 5
-#: Bounds of a block of a bucket: members, and shingles of all members.
+#: Bounds of a block of a unit: members, and shingles of all members.
 BLOCK_MEMBERS, BLOCK_SHINGLES = 512, 2_000_000
 #: Rows to look up (an id and a hash each) are broadcast up to this number; more are joined by shuffling.
 BROADCAST_IDS = 500_000
@@ -280,40 +282,55 @@ def centre_links(plain: DataFrame, nodes: DataFrame, stars: DataFrame, percent:
     return common.map_batches(paired, confirm, LINKS)
 
 
-def bucket_links(plain: DataFrame, nodes: DataFrame, labels: DataFrame, percent: int) -> DataFrame | None:
-    """Links (a, b) between the labels of nodes that share a bucket; ``labels``: (node, label) of all nodes in stars.
+def units_of(nodes: DataFrame, labels: DataFrame) -> DataFrame | None:
+    """(kind, unit, node, label, n): what is compared with what, for buckets with more than one label.
 
-    None if no bucket holds more than one label.
+    A unit is a bucket (kind 1), or all buckets of a family (kind 0) where that takes fewer
+    pairs. ``labels``: (node, label) of all nodes in stars. None if all buckets have one label.
     """
     member = common.settle(nodes.join(labels, "node").select("node", "label", "n", "keys"), "members")
     rows = member.select("node", "label", "n", F.explode("keys").alias("key"))
-    open_keys = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m"), F.sum(F.xxhash64("node") % (1 << 40)).alias("h1"), F.bit_xor(F.xxhash64(F.lit("set"), "node")).alias("h2"))
-    # Buckets of the same members are one group.
-    groups = common.settle(open_keys.filter("low < high").groupBy("m", "h1", "h2").agg(F.min("key").alias("key")).select("key"), "groups")
-    if not groups.limit(1).count():
+    seen = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("a"), F.count("*").alias("m"), F.sum(F.xxhash64("node") % (1 << 40)).alias("h1"), F.bit_xor(F.xxhash64(F.lit("set"), "node")).alias("h2"))
+    # Buckets of the same members are one.
+    buckets = common.settle(seen.filter("low < high").groupBy("a", "m", "h1", "h2").agg(F.min("key").alias("key")).select("key", "a", "m"), "buckets")
+    if not buckets.limit(1).count():
         return None
-    # Sets of linked documents are of the same or neighbouring classes; a step is a bit wider than the similarity asks.
-    grouped = rows.join(groups, "key").withColumn("class", F.floor(F.log("n") / -np.log(percent / 100 - 0.01)).cast("int"))
-    grouped = common.settle(grouped, "grouped")
-    blocks = lambda: F.greatest(F.ceil(F.count("*") / BLOCK_MEMBERS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
-    whole = grouped.groupBy("key").agg(blocks().alias("all_blocks"))
-    units = grouped.groupBy("key", "class").agg(blocks().alias("blocks"))
-    above = units.select("key", (F.col("class") - 1).alias("class"), F.col("blocks").alias("up"))
-    below = units.select("key", (F.col("class") + 1).alias("class"), F.col("blocks").alias("down"))
-    sized = grouped.join(units.join(whole, "key").join(above, ["key", "class"], "left").join(below, ["key", "class"], "left"), ["key", "class"])
-    own = F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks").cast("long")).cast("int")
-    row = lambda c, i, d, j, side: F.struct(c.alias("c"), i.alias("i"), d.alias("d"), j.alias("j"), side.alias("side"))
-    upto = lambda n: F.sequence(F.lit(0), n - 1)
-    c = F.col("class")
-    small = F.array(row(F.lit(-1), F.lit(0), F.lit(-1), F.lit(0), F.lit(0)))
-    within = F.transform(upto(F.col("blocks")), lambda k: row(c, F.least(k, F.col("own")), c, F.greatest(k, F.col("own")), F.when(k < F.col("own"), F.lit(1)).otherwise(F.lit(0))))
-    up = F.transform(upto(F.col("up")), lambda k: row(c, F.col("own"), c + 1, k, F.lit(0)))
-    down = F.transform(upto(F.col("down")), lambda k: row(c - 1, k, c, F.col("own"), F.lit(1)))
-    none = F.slice(small, 1, 0)
-    places = F.when(F.col("all_blocks") == 1, small).otherwise(F.concat(within, F.coalesce(up, none), F.coalesce(down, none)))
-    dealt = sized.withColumn("own", own).select("node", "label", "key", F.explode(places).alias("g")).select("node", "label", "key", "g.*")
-    key = ["key", "c", "i", "d", "j"]
-    paired = with_sets(plain, nodes, common.settle(dealt, "dealt"))
+    inside = common.settle(rows.join(buckets.select("key", "a"), "key"), "inside")
+    families = components.connected(inside.filter("node > a").select("a", F.col("node").alias("b"))).select(F.col("v").alias("node"), "root")
+    apart = buckets.join(families, F.col("a") == F.col("node")).select("key", "root", (F.col("m") * F.col("m")).alias("pairs"))
+    cost = apart.groupBy("root").agg(F.sum("pairs").alias("pairs")).join(families.groupBy("root").agg(F.count("*").alias("size")), "root")
+    cost = cost.select("root", (F.col("size") * F.col("size") <= F.col("pairs")).alias("whole"))
+    whole = families.join(cost.filter("whole"), "root").join(member, "node").select(F.lit(0).alias("kind"), F.col("root").alias("unit"), "node", "label", "n")
+    single = inside.join(apart.join(cost.filter("not whole"), "root").select("key"), "key").select(F.lit(1).alias("kind"), F.col("key").alias("unit"), "node", "label", "n")
+    return common.settle(whole.unionAll(single), "units")
+
+
+def dealt_units(units: DataFrame) -> DataFrame:
+    """(node, label, kind, unit, i, j, side): the pairs of blocks that each member is sent to.
+
+    Members of a unit's commonest label (blocks j < 0) meet only the blocks of others.
+    """
+    unit = ["kind", "unit"]
+    counted = units.groupBy(*unit, "label").agg(F.count("*").alias("m"), F.sum("n").alias("n"))
+    blocks = lambda m, n: F.greatest(F.ceil(m / BLOCK_MEMBERS), F.ceil(n / BLOCK_SHINGLES)).cast("int")
+    shape = counted.groupBy(*unit).agg(F.max_by(F.struct("label", "m", "n"), F.struct("m", "label")).alias("most"), F.sum("m").alias("m"), F.sum("n").alias("n"))
+    shape = shape.select(*unit, F.col("most.label").alias("most"), (blocks(F.col("m"), F.col("n")) == 1).alias("one"), blocks(F.col("m") - F.col("most.m"), F.col("n") - F.col("most.n")).alias("others"), blocks(F.col("most.m"), F.col("most.n")).alias("most_blocks"))
+    place = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), side.alias("side"))
+    none, one = F.lit(0), F.lit(1)
+    own = lambda n: F.pmod(F.xxhash64(F.lit("block"), "node"), n.cast("long")).cast("int")
+    mine = own(F.when(F.col("label") == F.col("most"), F.col("most_blocks")).otherwise(F.col("others")))
+    upto = lambda n: F.sequence(none, n - 1)
+    of_most = F.transform(upto(F.col("others")), lambda k: place(k, -1 - F.col("own"), one))
+    of_others = F.transform(upto(F.col("others")), lambda k: place(F.least(k, F.col("own")), F.greatest(k, F.col("own")), F.when(k < F.col("own"), one).otherwise(none)))
+    with_most = F.transform(upto(F.col("most_blocks")), lambda k: place(F.col("own"), -1 - k, none))
+    places = F.when(F.col("one"), F.array(place(none, none, none))).when(F.col("label") == F.col("most"), of_most).otherwise(F.concat(of_others, with_most))
+    return units.join(shape, unit).withColumn("own", mine).select("node", "label", *unit, F.explode(places).alias("g")).select("node", "label", *unit, "g.*")
+
+
+def unit_links(plain: DataFrame, nodes: DataFrame, dealt: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the labels of nodes in one unit."""
+    key = ["kind", "unit", "i", "j"]
+    paired = with_sets(plain, nodes, dealt)
     paired = paired.repartition(_parts(plain), *key).sortWithinPartitions(*key, "node").select(*key, "side", "node", "label", "shingles")
 
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,11 +338,11 @@ def bucket_links(plain: DataFrame, nodes: DataFrame, labels: DataFrame, percent:
 
         def ended() -> list:
             left, right = (list(s.values()) for s in sides)
-            apart = held is not None and held[1:3] != held[3:5]
+            apart = held is not None and held[2] != held[3]
             return forest(left, right if apart else None, percent) if left and (right or not apart) else []
 
         for batch in batches:
-            for *at, side, x, label, body in zip(*(batch.column(k).to_pylist() for k in range(9))):
+            for *at, side, x, label, body in zip(*(batch.column(k).to_pylist() for k in range(8))):
                 if at != held:
                     made += ended()
                     held, sides = at, ({}, {})
@@ -351,8 +368,9 @@ def components_of(plain: DataFrame, percent: int) -> tuple[DataFrame, DataFrame,
     near = near.select(F.col("v").alias("node"), F.col("root").alias("label"))
     seen = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
     labels = common.settle(seen.join(near, "node", "left").select("node", F.coalesce("label", "node").alias("label")), "labels")
-    more = bucket_links(plain, nodes, labels, percent)
-    if more is not None:
+    units = units_of(nodes, labels)
+    if units is not None:
+        more = unit_links(plain, nodes, common.settle(dealt_units(units), "dealt"), percent)
         joined = components.connected(common.settle(more, "links")).select(F.col("v").alias("label"), "root")
         labels = labels.join(joined, "label", "left").select("node", F.coalesce("root", "label").alias("root"))
     else:
