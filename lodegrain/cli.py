@@ -8,6 +8,7 @@
 from __future__ import annotations
 
 import argparse
+import json
 import sys
 
 from pyspark.sql import SparkSession, functions as F
@@ -43,6 +44,14 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--limit", type=int, default=10)
     p.add_argument("--candidates", type=int, default=50)
     p.add_argument("--no-rerank", action="store_true")
+    p.add_argument("--keyword-rerank", action="store_true", help="rerank keyword hits, which are in key order otherwise")
+    p.add_argument("--hnsw-ef", type=int, default=64, help="search width of the index")
+    p.add_argument("--rescore", action="store_true", help="score int8 candidates again in full precision")
+    p.add_argument("--full", action="store_true", help="whole abstracts in place of their beginnings")
+    p.add_argument("--meta", action="store_true", help="counts and times with the results")
+    p.add_argument("--json", action="store_true", help="results as JSON, as without --text")
+    p.add_argument("--text", action="store_true", help="text to read in place of JSON")
+    p.add_argument("--interactive", action="store_true", help="ask for queries until an empty line")
     p.add_argument("--no-dedupe", action="store_true")
     p.add_argument("--raw", action="store_true")
     p.add_argument("--dim", type=int, default=64)
@@ -69,13 +78,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         held = writers.Collection(spark, args.collection, dim=args.dim)
         if args.recreate:
             held.recreate(confirm=args.yes)
+        elif not held.meta:
+            held.create(embedding_model=models.HashingEmbedder.__name__)
         payload = projections.to_payload(readers.records(spark, args.records).drop("year", "part"))
         embedded = payload.filter(F.trim("abstract") != "").withColumn("embedding", models.embed(F.col("abstract"), lambda: models.HashingEmbedder(args.dim)))
         held.upsert(projections.to_points(models.check_vectors(embedded, args.dim, key="openalex_id")))
         print(held.describe())
         return 0
     queries = readers.queries_from(spark, args.queries, args.query)
-    if not queries:
+    if not queries and not args.interactive:
         print("no query given", file=sys.stderr)
         return 2
     held = writers.Collection(spark, args.collection, dim=args.dim)
@@ -86,16 +97,39 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     points = points.withColumn("vec_id", F.coalesce(numeric_id(F.col("openalex_id")), F.xxhash64("point_id")))
     found = engine.Engine(points, lambda: models.HashingEmbedder(args.dim), models.OverlapReranker)
     filters = predicates.Filters(**{k: getattr(args, k) for k in ("field", "subfield", "domain", "topic", "source", "type", "country", "year", "year_from", "year_to")})
-    if args.keyword:
-        parts = [found.keyword(engine.KeywordRequest(q, filters, args.limit, args.phrase, not args.no_dedupe, not args.no_rerank, args.raw)) for q in queries]
-    else:
-        parts = [found.search_batch(engine.SearchRequest(tuple(queries[i : i + 32]), filters, args.limit, args.candidates, not args.no_rerank, not args.no_dedupe, args.raw)) for i in range(0, len(queries), 32)]
-    text = "\n".join(writers.to_json_text(p.orderBy("qid", "rank")) for p in parts)
+
+    def answer(queries: list[str]) -> list[dict]:
+        if args.keyword:
+            return [x for q in queries for x in found.respond(engine.KeywordRequest(q, filters, args.limit, args.phrase, not args.no_dedupe, args.keyword_rerank, args.raw))]
+        requests = [engine.SearchRequest(tuple(queries[i : i + 32]), filters, args.limit, args.candidates, not args.no_rerank, not args.no_dedupe, args.raw, args.hnsw_ef, args.rescore) for i in range(0, len(queries), 32)]
+        return [x for r in requests for x in found.respond(r)]
+
+    def shown(answers: list[dict], text: bool = args.text and not args.json) -> str:
+        if not text:
+            return "\n".join(json.dumps(x if args.meta else x["results"], ensure_ascii=False, indent=2, default=str) for x in answers)
+        lines = []
+        for x in answers:
+            lines.append(f"# {x['query']}" + (f" ({x['count']} of {x['candidates']} candidates, {x['deduped']} copies merged, {x['took_ms']} ms)" if args.meta else ""))
+            for r in x["results"]:
+                body = r.get("abstract") or ""
+                score = "" if r.get("score") is None else f" [{r['score']:.4f}]"
+                lines.append(f"{r['rank']}. {r.get('title') or '-'}{score}\n   {body if args.full or len(body) <= 300 else body[:300] + ' ...'}")
+        return "\n".join(lines)
+
+    text = shown(answer(queries)) if queries else ""
     if args.out:
         with open(args.out, "w", encoding="utf-8") as out:
             out.write(text)
-    else:
+    elif text:
         print(text)
+    while args.interactive:
+        try:
+            query = input("> ").strip()
+        except EOFError:
+            break
+        if not query:
+            break
+        print(shown(answer([query]), text=not args.json))
     return 0
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lodegrain.functions.vectors import quantise
-from lodegrain.session import ship
+from lodegrain.session import scratch, ship
 
 #: Digits of a score that count in comparisons; ties go to the smaller id.
 DIGITS = 6
@@ -51,6 +51,8 @@ def candidates(points: DataFrame, queries: np.ndarray, k: int, id_col: str, vect
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [(np.zeros(0, np.int64), np.zeros(0)) for _ in q]
         for batch in batches:
+            if batch.column(1).null_count:
+                batch = batch.filter(batch.column(1).is_valid())
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             v = matrix(batch.column(1)).astype(np.float64)
             if not len(ids):
@@ -67,7 +69,8 @@ def candidates(points: DataFrame, queries: np.ndarray, k: int, id_col: str, vect
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.arange(len(q)), n).astype(np.int32)), pa.array(np.concatenate([a for a, _ in held])), pa.array(np.concatenate([s for _, s in held]))], ["qid", "id", "vector_score"])
 
     columns = [F.col(id_col).cast("long").alias("id"), F.col(vector_col)] + ([F.col(cell_col)] if cell_col else [])
-    return points.filter(F.col(vector_col).isNotNull()).select(*columns).mapInArrow(run, "qid int, id long, vector_score double")
+    # Rows without a vector are left out in the tasks: as a filter, the vector's expression (a model, perhaps) would run twice.
+    return points.select(*columns).mapInArrow(run, "qid int, id long, vector_score double")
 
 
 def cut(rows: DataFrame, k: int, score: str = "vector_score", name: str = "rank") -> DataFrame:
@@ -81,14 +84,52 @@ def top_k(points: DataFrame, queries: np.ndarray, k: int, id_col: str = "vec_id"
     return cut(candidates(points if where is None else points.filter(where), queries, k, id_col, vector_col), k)
 
 
+#: Values that come to the driver at once, and bins of a pass.
+MOST_VALUES, BINS = 50_000, 4096
+
+
+def order_statistics(values: DataFrame, places: list[int], most: int = MOST_VALUES) -> list[float]:
+    """The values at 0-based places of the sorted column ``x``, exact.
+
+    Each pass counts the values of equal bins and goes on with the bin that holds the place,
+    until its values are few or all the same. A pass keeps a count for each bin, whatever
+    the number of values, and no task or driver holds more than ``most`` of them.
+    """
+    out = []
+    for place in places:
+        inside, before = values, 0
+        while True:
+            low, high, n = inside.agg(F.min("x"), F.max("x"), F.count("x")).first()
+            if low == high:
+                out.append(low)
+                break
+            if n <= most:
+                out.append(sorted(r[0] for r in inside.select("x").collect())[place - before])
+                break
+            step = (high - low) / BINS
+            bins = F.least(F.floor((F.col("x") - low) / F.lit(step)), F.lit(BINS - 1))
+            for k, count in sorted(inside.groupBy(bins.alias("k")).count().collect()):
+                if place < before + count:
+                    inside = inside.filter(bins == k)
+                    break
+                before += count
+    return out
+
+
 def clip_value(points: DataFrame, vector_col: str = "embedding", quantile: float = 0.99, exact: bool = False) -> float:
     """The quantile of all components' sizes, past which int8 saturates.
 
-    The default is a bounded sketch; the exact form holds every distinct value and is for small tables.
+    The default is a bounded sketch; the exact form interpolates between order statistics, in a few passes.
     """
-    parts = points.select(F.explode(vector_col).alias("x")).select(F.abs(F.col("x").cast("double")).alias("x"))
-    value = F.percentile("x", F.lit(quantile)) if exact else F.percentile_approx("x", quantile, 100_000)
-    return parts.agg(value).first()[0]
+    parts = points.select(F.explode(vector_col).alias("x")).select(F.abs(F.col("x").cast("double")).alias("x")).filter("x is not null")
+    if not exact:
+        return parts.agg(F.percentile_approx("x", quantile, 100_000)).first()[0]
+    n = parts.count()
+    if not n:
+        return None
+    at = quantile * (n - 1)
+    low, high = order_statistics(parts, [math.floor(at), math.ceil(at)])
+    return low + (high - low) * (at - math.floor(at))
 
 
 def quantised(points: DataFrame, clip: float, vector_col: str = "embedding", name: str = "embedding_i8") -> DataFrame:
@@ -136,20 +177,27 @@ def random_unit(dim: int, n: int = 1, seed: int = 0) -> np.ndarray:
 def top_k_join(points: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", vector_col: str = "embedding", block: int = MOST_QUERIES, search=top_k, **options) -> DataFrame:
     """(query_id, id, vector_score, rank) for a table of queries, taken in blocks of at most ``block``.
 
-    One block's vectors are on the driver at a time, whatever the number of queries.
+    One block's vectors are on the driver at a time, whatever the number of queries; each
+    block is one pass over the points. Results of more than one block are written to the
+    shared scratch folder as they come, so the plan doesn't grow with the number of blocks.
     """
-    out, held = None, []
+    spark, folder, held, blocks = points.sparkSession, None, [], 0
 
-    def flush(rows: list, out: DataFrame | None) -> DataFrame:
-        found = search(points, np.array([r[1] for r in rows], np.float64), k, id_col=id_col, vector_col=vector_col, **options)
-        names = points.sparkSession.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "qid int, query_id long")
-        part = found.join(F.broadcast(names), "qid").select("query_id", "id", "vector_score", "rank")
-        return part if out is None else out.unionAll(part)
+    def found(rows: list) -> DataFrame:
+        hits = search(points, np.array([r[1] for r in rows], np.float64), k, id_col=id_col, vector_col=vector_col, **options)
+        names = spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "qid int, query_id long")
+        return hits.join(F.broadcast(names), "qid").select("query_id", "id", "vector_score", "rank")
 
     for row in queries.select(F.col(id_col).cast("long"), vector_col).filter(F.col(vector_col).isNotNull()).orderBy(id_col).toLocalIterator():
-        held.append(row)
         if len(held) == block:
-            out, held = flush(held, out), []
-    if held or out is None:
-        out = flush(held, out) if held else points.sparkSession.createDataFrame([], "query_id long, id long, vector_score double, rank int")
-    return out
+            folder = folder or scratch(spark, "neighbours")
+            found(held).write.parquet(f"{folder}/block={blocks}")
+            held, blocks = [], blocks + 1
+        held.append(row)
+    if not held:
+        return spark.createDataFrame([], "query_id long, id long, vector_score double, rank int")
+    last = found(held)
+    if folder is None:
+        return last
+    last.write.parquet(f"{folder}/block={blocks}")
+    return spark.read.schema("query_id long, id long, vector_score double, rank int").parquet(*[f"{folder}/block={i}" for i in range(blocks + 1)])

@@ -36,13 +36,24 @@ class HashingEmbedder:
 
     def __init__(self, dim: int = 64):
         self.dim = dim
+        self.known: dict[str, int] = {}
+
+    def _place(self, word: str) -> int:
+        """A word's coordinate, past ``dim`` for a negative sign; short words are remembered, up to a bound."""
+        h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
+        place = h % self.dim + (0 if h >> 63 else self.dim)
+        if len(word) <= 32:
+            if len(self.known) >= 200_000:
+                self.known.clear()
+            self.known[word] = place
+        return place
 
     def encode(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.dim), np.float32)
         for row, text in zip(out, texts):
-            for word in _WORD.findall(text.lower()):
-                h = int.from_bytes(hashlib.blake2b(word.encode(), digest_size=8).digest(), "little")
-                row[h % self.dim] += 1.0 if h >> 63 else -1.0
+            places = [self.known[w] if w in self.known else self._place(w) for w in _WORD.findall(text.lower())]
+            counts = np.bincount(places, minlength=2 * self.dim) if places else np.zeros(2 * self.dim)
+            row += counts[: self.dim] - counts[self.dim :]
         size = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, size, out=out, where=size > 0)
 

@@ -7,6 +7,7 @@ copies are within the candidates fetched, not the whole collection.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass, replace
 
@@ -88,7 +89,7 @@ class Engine:
         common = {"id_col": self.id_col, "vector_col": self.vector_col, "where": where}
         if not request.exact and self.cells is not None:
             width = max(request.ef, request.fetch)
-            return index.search(self.points, self.cells, vectors, request.fetch, probes=max(1, width // 8), **common)
+            return index.search(self.points, self.cells, vectors, request.fetch, probes=self.cells.probes_for(width), **common)
         if not request.exact and self.clip is not None:
             return knn.top_k_quantised(self.points, vectors, request.fetch, self.clip, request.oversampling, request.rescore, **common)
         return knn.top_k(self.points, vectors, request.fetch, **common)
@@ -120,7 +121,9 @@ class Engine:
 
     def search_batch(self, request: SearchRequest, vectors: np.ndarray | None = None) -> DataFrame:
         """Hits of each query, by ``qid`` and ``rank``. Vectors may be given in place of texts to embed."""
-        request.checked()
+        return self._hits(request.checked(), vectors)
+
+    def _hits(self, request: SearchRequest, vectors: np.ndarray | None = None) -> DataFrame:
         vectors = self.embed_queries(list(request.queries)) if vectors is None else np.asarray(vectors, np.float64)
         if len(vectors) != len(request.queries):
             raise ValueError("as many vectors as queries are wanted")
@@ -144,18 +147,48 @@ class Engine:
 
     def local(self, request: SearchRequest, vectors: np.ndarray | None = None) -> DataFrame:
         """As ``search_batch``, but the full number of candidates is fetched even without reranking."""
-        wide = replace(request, limit=max(request.candidates, request.limit))
-        hits = self.search_batch(wide, vectors)
+        wide = replace(request.checked(), limit=max(request.candidates, request.limit))  # the request's own limit is checked, not the widened one
+        hits = self._hits(wide, vectors)
         return hits.filter(F.col("rank") <= request.limit)
 
+    def respond(self, request: SearchRequest | KeywordRequest, vectors: np.ndarray | None = None) -> list[dict]:
+        """Results in their envelope, one for each query.
+
+        The envelope says what was asked, how (``vector`` or ``keyword``), how many hits came,
+        how many candidates were fetched, how many copies were merged among the hits' own, whether
+        the hits were reranked, and how long all queries took.
+        """
+        began = time.perf_counter()
+        keyword = isinstance(request, KeywordRequest)
+        hits = (self.keyword(request) if keyword else self.search_batch(request, vectors)).orderBy("qid", "rank").collect()
+        took = round((time.perf_counter() - began) * 1000, 1)
+        queries = (request.text,) if keyword else request.queries
+        out = []
+        for i, query in enumerate(queries):
+            own = [r.asDict(recursive=True) for r in hits if r["qid"] == i]
+            merged = sum((r.get("duplicates") or 1) - 1 for r in own)
+            out.append({"query": query, "mode": "keyword" if keyword else "vector", "count": len(own), "took_ms": took, "candidates": request.fetch, "reranked": bool(request.rerank and self.reranker is not None), "deduped": merged if request.dedupe else 0, "results": [{k: v for k, v in r.items() if k != "qid"} for r in own]})
+        return out
+
     def health(self) -> dict:
+        """What the engine serves: points, models by name, index and quantisation."""
         points, indexed = self.points.agg(F.count("*"), F.count(self.vector_col)).first()
-        return {"status": "ok", "points": points, "indexed": indexed, "embedding_model": self.embedder is not None, "reranker_model": self.reranker is not None}
+        name = lambda factory: getattr(factory, "__name__", type(factory).__name__) if factory is not None else None
+        cells = {"cells": len(self.cells.centroids), "probes": self.cells.probes, "spill": self.cells.spill} if self.cells is not None else None
+        return {"status": "ok", "points": points, "indexed": indexed, "embedding_model": self.embedder is not None, "reranker_model": self.reranker is not None, "models": [name(self.embedder), name(self.reranker)], "device": "cpu", "index": cells, "clip": self.clip}
 
     def warm(self) -> int:
         """Keep the points in memory, spilling to disk; returns how many there are."""
         self.points = self.points.persist()
-        return self.points.count()
+        n = self.points.count()
+        if self.embedder is not None:
+            for query in WARM_QUERIES:
+                self.search(query, limit=1, rerank=False).count()
+        return n
+
+
+#: Asked once on warming, so that models and plans are ready for the first real query.
+WARM_QUERIES = ("climate", "protein folding", "machine learning")
 
 
 def summary(hits: DataFrame, fetched: DataFrame) -> DataFrame:

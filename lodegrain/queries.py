@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodegrain import functions, schema
 from lodegrain.functions import ids, text, vectors
 from lodegrain.operators import dedupe, index, joins, knn, models, predicates, projections, stats
 from lodegrain.plans import engine, prepare
+from lodegrain.session import scratch
 from lodegrain.settings import Settings
 from lodegrain.sources import readers, writers
 from lodegrain.streaming import incremental
@@ -65,8 +66,8 @@ def knn_filtered_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT round(quantile_cont(abs(x), 0.99), 6) AS clip FROM (SELECT unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings)")
 def quantile_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = T(spark, sf_dir, "embeddings").select(F.explode("embedding").alias("x"))
-    return parts.agg(F.round(F.percentile(F.abs(F.col("x").cast("double")), F.lit(0.99)), 6).alias("clip"))
+    clip = knn.clip_value(T(spark, sf_dir, "embeddings"), exact=True)
+    return spark.createDataFrame([(clip,)], "clip double").select(F.round("clip", 6).alias("clip"))
 
 
 @query("""
@@ -85,15 +86,14 @@ def quantised_rescore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def ann_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The inverted file's recall against the exact result, for each query."""
+    """The inverted file's recall against the exact result, for each query, at the engine's default width."""
     points = T(spark, sf_dir, "embeddings")
-    cells = index.fit(points)
+    cells = index.fit(points, spill=3)
     indexed = index.assign(points, cells)
-    n = len(cells.centroids)
-    found = knn.top_k_join(indexed, _every_hundredth(points), K, search=lambda p, q, k, **o: index.search(p, cells, q, k, probes=max(4, n * 3 // 5), **o))
-    truth = knn.top_k_join(points, _every_hundredth(points), K)
+    found = engine.Engine(indexed, cells=cells)
+    search = lambda p, q, k, **o: found.candidates(q, engine.SearchRequest(("",) * len(q), limit=k, rerank=False))
     rename = lambda d: d.withColumnRenamed("query_id", "qid")
-    return knn.recall(rename(found), rename(truth))
+    return knn.recall(rename(knn.top_k_join(indexed, _every_hundredth(points), K, search=search)), rename(knn.top_k_join(points, _every_hundredth(points), K)))
 
 
 @query("""
@@ -112,12 +112,13 @@ _ASCII = "trim(regexp_replace(lower(coalesce(text, '')), '[^0-9a-z가-힣]+', '
 
 @query(f"""
 WITH k AS (SELECT doc_id, {_ASCII} AS n FROM documents
-), t AS (SELECT doc_id, CASE WHEN length(left(n, 40)) >= 12 THEN 't:' || left(n, 40) WHEN length(n) > 0 THEN 'a:' || left(n, 200) ELSE 'i:' || doc_id END AS key FROM k)
-SELECT min(doc_id) AS doc_id, key, CAST(count(*) AS INTEGER) AS duplicates FROM t GROUP BY key
+), t AS (SELECT doc_id, CASE WHEN length(n) >= 12 THEN 't:' || n WHEN length(n) > 0 THEN 'a:' || left(n, 200) ELSE 'i:' || doc_id END AS key FROM k)
+SELECT min(doc_id) AS doc_id, sha256(key) AS key, CAST(count(*) AS INTEGER) AS duplicates FROM t GROUP BY key
 """)
 def dedupe_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies by the whole normalised text as title; keys are compared by their digests, which are what is shuffled."""
     docs = T(spark, sf_dir, "documents").select("doc_id", text.normalise_ascii(F.col("text")).alias("n"))
-    items = docs.select("doc_id", text.duplicate_key(F.left("n", F.lit(40)), F.col("n"), F.col("doc_id")).alias("key"))
+    items = docs.select("doc_id", F.sha2(text.duplicate_key(F.col("n"), F.col("n"), F.col("doc_id")), 256).alias("key"))
     return dedupe.dedupe(items, F.col("key"), [F.col("doc_id")])
 
 
@@ -344,6 +345,19 @@ def incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.latest(T(spark, sf_dir, "events").select("user_id", "event_id", "value", "ts"), "user_id", [F.col("ts"), F.col("event_id")]).select("user_id", "event_id", "value")
 
 
+@query("SELECT user_id AS point_id, arg_max(event_id, struct_pack(h := event_id % 3, t := event_id)) AS event_id FROM events GROUP BY 1")
+def collection_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three commits to a collection, the second compacted with the first; the latest commit wins for a key."""
+    held = writers.Collection(spark, scratch(spark, "collection"), dim=1)
+    rows = T(spark, sf_dir, "events").select("user_id", "event_id")
+    for k in range(3):
+        part = rows.filter(F.col("event_id") % 3 == k).groupBy("user_id").agg(F.max("event_id").alias("event_id"))
+        held.upsert(part.select(F.col("user_id").alias("point_id"), "event_id", F.array(F.lit(1.0)).alias("embedding")))
+        if k == 1:
+            held.compact()
+    return held.read().select("point_id", "event_id")
+
+
 @query("""
 SELECT event_id, round(value - lag(value) OVER w, 6) + 0.0 AS delta, CASE WHEN epoch(ts) - epoch(lag(ts) OVER w) > 0 THEN round((value - lag(value) OVER w) / (epoch(ts) - epoch(lag(ts) OVER w)), 6) + 0.0 END AS rate
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
@@ -383,9 +397,16 @@ SELECT qid, doc_id, CAST(score AS DOUBLE) AS rerank_score, CAST(r AS INTEGER) AS
 """)
 def rerank_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The top 20 of each language by a score with many ties, which keep their order."""
-    docs = T(spark, sf_dir, "documents").select(F.col("lang").alias("qid"), "doc_id", (F.col("n_chars") % 7).cast("double").alias("rerank_score"))
-    w = Window.partitionBy("qid").orderBy(F.desc("rerank_score"), "doc_id")
-    return docs.withColumn("rank", F.row_number().over(w)).filter("rank <= 20").select("qid", "doc_id", "rerank_score", F.col("rank").cast("int").alias("rank"))
+    docs = T(spark, sf_dir, "documents").select(F.coalesce("lang", F.lit("")).alias("query"), F.col("lang").alias("qid"), "doc_id", (F.col("n_chars") % 7).cast("string").alias("body"))
+    found = models.rerank(docs, lambda: _NumberReranker(), F.col("body"), 20, before="doc_id")
+    return found.select("qid", "doc_id", "rerank_score", F.col("rerank_rank").cast("int").alias("rank"))
+
+
+class _NumberReranker:
+    """The text's own number as score: many ties."""
+
+    def score(self, pairs: list[tuple[str, str]]) -> list[float]:
+        return [float(text) for _, text in pairs]
 
 
 @query("SELECT lang, count(*) AS candidates, count(DISTINCT text) AS kept, count(*) - count(DISTINCT text) AS removed FROM documents WHERE text IS NOT NULL GROUP BY 1")
@@ -397,9 +418,3 @@ def removed_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exact nearest points of every hundredth one."""
     return knn_exact_topk(spark, sf_dir)
-
-
-def query_vectors(points: DataFrame, ids_wanted: list[int]) -> np.ndarray:
-    """Vectors of a few points by id, in the order given."""
-    got = {r[0]: r[1] for r in points.filter(F.col("vec_id").isin(ids_wanted)).select("vec_id", "embedding").collect()}
-    return np.array([got[i] for i in ids_wanted])

@@ -7,11 +7,13 @@ Sinks are idempotent by batch number, so a batch that is handed over twice is st
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lodegrain.operators.joins import not_in
+from lodegrain.session import read_text, remove
 from lodegrain.sources.writers import Collection
 
 
@@ -25,13 +27,18 @@ def run_available(spark: SparkSession, source: str, schema: T.StructType, kind:
     return sum(1 for p in query.recentProgress if p["numInputRows"])
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a stream keeps as long as its checkpoint; a stream that starts anew has another."""
+    return json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+
+
 def load_new(spark: SparkSession, source: str, schema: T.StructType, collection: Collection, to_points: Callable[[DataFrame], DataFrame], checkpoint: str, kind: str = "json", files_per_batch: int | None = None) -> int:
-    """Upsert the points of new files; the latest batch wins for a key."""
-    return run_available(spark, source, schema, kind, lambda df, n: _put(collection, to_points(df), n + 1), checkpoint, files_per_batch)
+    """Upsert the points of new files; the latest commit wins for a key, be it of this stream or another."""
+    return run_available(spark, source, schema, kind, lambda df, n: _put(spark, collection, to_points(df), n, checkpoint), checkpoint, files_per_batch)
 
 
-def _put(collection: Collection, points: DataFrame, number: int) -> None:
-    collection.upsert(points, number)
+def _put(spark: SparkSession, collection: Collection, points: DataFrame, number: int, checkpoint: str) -> None:
+    collection.upsert(points, number, stream_id(spark, checkpoint), checkpoint)
 
 
 def append_new(spark: SparkSession, source: str, schema: T.StructType, transform: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, kind: str = "parquet", files_per_batch: int | None = None) -> int:
@@ -46,8 +53,7 @@ def still_to_do(rows: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
 
 def restart(spark: SparkSession, checkpoint: str) -> None:
     """Forget progress: the next run reads all files again."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    remove(spark, checkpoint)
 
 
 def is_done(spark: SparkSession, path: str) -> bool:
