@@ -179,10 +179,15 @@ def signed(plain: DataFrame, percent: int = 85) -> DataFrame:
     return common.map_batches(plain.select("doc_id", "text", "text_hash"), run, SIGNED)
 
 
+def few(df: DataFrame) -> DataFrame:
+    """A settled table as the broadcast side of a join if it was counted to be small, else as it is."""
+    return F.broadcast(df) if df.count() <= BROADCAST_IDS else df
+
+
 def star_edges(nodes: DataFrame) -> DataFrame:
     """(a, b, shared): each bucket's least node and every other member, with the number of buckets they share."""
     rows = nodes.select("node", F.explode("keys").alias("key"))
-    centres = rows.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a < z").select("key", "a")
+    centres = rows.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("m")).filter("m > 1").select("key", "a")
     return rows.join(centres, "key").filter("node > a").groupBy("a", F.col("node").alias("b")).agg(F.count("*").alias("shared"))
 
 
@@ -224,12 +229,12 @@ def forest(left: list, right: list | None, percent: int) -> list[tuple[int, int]
 
 
 def with_sets(plain: DataFrame, nodes: DataFrame, dealt: DataFrame) -> DataFrame:
-    """``dealt`` (node, ...) with each node's ``shingles``, from the text of the node's first row.
+    """``dealt`` (node, ..., a settled table) with each node's ``shingles``, from the text of the node's first row.
 
-    The rows to read are looked up by id and text hash: broadcast if they were counted to be few.
+    The rows to read are looked up by id and text hash. What is looked up is broadcast where
+    it was counted to be few, so that sets are shuffled once, to where they are compared.
     """
-    wanted = common.settle(dealt.select("node").distinct().join(nodes.select("node", "first_id", "first_hash"), "node").select("first_id", "first_hash"), "wanted")
-    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
+    wanted = common.settle(nodes.select("node", "first_id", "first_hash").join(few(dealt), "node", "left_semi").select("first_id", "first_hash"), "wanted")
     same = (F.col("text_hash") == F.col("first_hash")) & F.col("doc_id").eqNullSafe(F.col("first_id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,8 +243,8 @@ def with_sets(plain: DataFrame, nodes: DataFrame, dealt: DataFrame) -> DataFrame
                 made = [s for s in shingle_sets(bodies) if len(s)]
                 yield pa.RecordBatch.from_arrays([pa.array([node(s) for s in made], pa.int64()), pa.array([s.tobytes() for s in made], pa.binary())], ["node", "shingles"])
 
-    full = common.map_batches(plain.filter("text is not null").join(few, same, "left_semi").select("text"), sets, "node long, shingles binary")
-    return dealt.join(full, "node")
+    full = common.map_batches(plain.filter("text is not null").join(few(wanted), same, "left_semi").select("text"), sets, "node long, shingles binary")
+    return full.join(few(dealt), "node")
 
 
 LINKS = "a long, b long"
@@ -288,14 +293,14 @@ def units_of(nodes: DataFrame, labels: DataFrame) -> DataFrame | None:
     A unit is a bucket (kind 1), or all buckets of a family (kind 0) where that takes fewer
     pairs. ``labels``: (node, label) of all nodes in stars. None if all buckets have one label.
     """
-    member = common.settle(nodes.join(labels, "node").select("node", "label", "n", "keys"), "members")
+    member = common.settle(nodes.join(few(labels), "node").select("node", "label", "n", "keys"), "members")
     rows = member.select("node", "label", "n", F.explode("keys").alias("key"))
     seen = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("a"), F.count("*").alias("m"), F.sum(F.xxhash64("node") % (1 << 40)).alias("h1"), F.bit_xor(F.xxhash64(F.lit("set"), "node")).alias("h2"))
     # Buckets of the same members are one.
     buckets = common.settle(seen.filter("low < high").groupBy("a", "m", "h1", "h2").agg(F.min("key").alias("key")).select("key", "a", "m"), "buckets")
     if not buckets.limit(1).count():
         return None
-    inside = common.settle(rows.join(buckets.select("key", "a"), "key"), "inside")
+    inside = common.settle(rows.join(few(buckets).select("key", "a"), "key"), "inside")
     families = components.connected(inside.filter("node > a").select("a", F.col("node").alias("b"))).select(F.col("v").alias("node"), "root")
     apart = buckets.join(families, F.col("a") == F.col("node")).select("key", "root", (F.col("m") * F.col("m")).alias("pairs"))
     cost = apart.groupBy("root").agg(F.sum("pairs").alias("pairs")).join(families.groupBy("root").agg(F.count("*").alias("size")), "root")
@@ -408,7 +413,7 @@ def keep_one(docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_co
     gone_id, gone_hash, own = common.fresh(docs.columns, "gone_id", "gone_hash", "own_row")
     marked = common.settle(counted.filter(~mine | (F.col("rows") > 1)).select(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_hash), mine.alias(own)), "dropped")
     same = F.col(id_col).cast("long").eqNullSafe(F.col(gone_id)) & (F.xxhash64(F.col(text_col).cast("string")) == F.col(gone_hash))
-    rest = docs.join(F.broadcast(marked) if marked.count() <= BROADCAST_IDS else marked, same, "left_anti")
+    rest = docs.join(few(marked), same, "left_anti")
     repeated = marked.filter(own)
     if not repeated.limit(1).count():
         return rest
