@@ -329,7 +329,8 @@ def dealt_units(units: DataFrame) -> DataFrame:
     of_others = F.transform(upto(F.col("others")), lambda k: place(F.least(k, F.col("own")), F.greatest(k, F.col("own")), F.when(k < F.col("own"), one).otherwise(none)))
     with_most = F.transform(upto(F.col("most_blocks")), lambda k: place(F.col("own"), -1 - k, none))
     places = F.when(F.col("one"), F.array(place(none, none, none))).when(F.col("label") == F.col("most"), of_most).otherwise(F.concat(of_others, with_most))
-    return units.join(shape, unit).withColumn("own", mine).select("node", "label", *unit, F.explode(places).alias("g")).select("node", "label", *unit, "g.*")
+    # Both sides of the join are tables, so a unit with many rows is no burden: broadcast, or split by adaptive execution.
+    return units.join(few(common.settle(shape, "shape")), unit).withColumn("own", mine).select("node", "label", *unit, F.explode(places).alias("g")).select("node", "label", *unit, "g.*")
 
 
 def unit_links(plain: DataFrame, nodes: DataFrame, dealt: DataFrame, percent: int) -> DataFrame:
