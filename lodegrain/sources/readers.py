@@ -151,3 +151,11 @@ def queries_from(spark: SparkSession, path: str | None = None, given: Iterable[s
 
 def read_json(text: str):
     return json.loads(text)
+
+
+def files(spark: SparkSession, folder: str, largest_first: bool = False) -> list[tuple[str, int]]:
+    """(name, bytes) of the files of a folder, by name, or the largest first (equal sizes by name)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = sorted((x.getPath().getName(), x.getLen()) for x in fs.listStatus(target) if x.isFile())
+    return sorted(found, key=lambda x: -x[1]) if largest_first else found

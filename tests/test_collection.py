@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodegrain.operators import index, knn, models
 from lodegrain.plans import engine
-from lodegrain.sources import writers
+from lodegrain.sources import readers, writers
 from lodegrain.streaming import incremental
 
 KIND = "k string, v double"
@@ -144,3 +144,10 @@ def test_envelopes_and_wide_local_searches(spark):
     assert found.local(engine.SearchRequest(("words 1",), limit=2, candidates=300, rerank=False)).count() == 2
     with pytest.raises(ValueError):
         found.local(engine.SearchRequest(("words 1",), limit=300))
+
+
+def test_files_by_name_and_by_size(spark, tmp_path):
+    for name, n in (("b", 5), ("a", 1), ("c", 5)):
+        (tmp_path / name).write_bytes(b"x" * n)
+    assert readers.files(spark, f"file://{tmp_path}") == [("a", 1), ("b", 5), ("c", 5)]
+    assert [x for x, _ in readers.files(spark, f"file://{tmp_path}", largest_first=True)] == ["b", "c", "a"]
