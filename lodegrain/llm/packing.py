@@ -29,6 +29,8 @@ from lodegrain.llm import common, vocab
 
 PIECES = "piece long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
+PLACE = ("p_length", "p_first", "p_end", "p_copies", "p_sequence", "p_offset")
+
 #: Pieces of one length that one task ranks.
 GROUP = 100_000
 
@@ -119,7 +121,8 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, end_id: int = 1
     cut = common.settle(pieces(docs, vocabulary, capacity, end_id, id_col, text_col), "pieces")
     histogram = {r[0]: r[1] for r in cut.groupBy("length").count().collect()}  # at most `capacity` rows
     places = slots(plan(histogram, capacity))
-    table = spark.createDataFrame(places, "p_length long, p_first long, p_end long, p_copies long, p_sequence long, p_offset long")
+    # An Arrow table reaches the plan as it is; of a list, Python workers on the executors would make rows.
+    table = spark.createDataFrame(pa.table({name: pa.array((x[k] for x in places), pa.int64()) for k, name in enumerate(PLACE)}))
     # As many rows as patterns have parts, which the capacity bounds and the corpus doesn't.
     table = F.broadcast(table) if len(places) <= 64 * capacity else table
     nth = F.col("rank") - F.col("p_first")
