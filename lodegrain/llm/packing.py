@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end_id: int, id_col:
         encoder = vocab.word_ids(content.value)
         key = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for ids, bodies in common.slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for ids, bodies in common.slices(batch.column(0).to_pylist(), batch.column(1).to_pylist(), vocab.TEXTS):
                 rows = []
                 for doc_id, raw in zip(ids, encoder.encode([b or "" for b in bodies])):
                     tokens = np.append(np.frombuffer(raw, encoder.dtype).astype("<u4"), np.uint32(end_id))

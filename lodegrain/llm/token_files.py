@@ -119,7 +119,7 @@ def write(docs: DataFrame, folder: str, vocabulary: str, length: int = 2048, end
         store, path = filesystem(folder)
         try:
             for batch in batches:
-                for ids, bodies in common.slices(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for ids, bodies in common.slices(batch.column(0).to_pylist(), batch.column(1).to_pylist(), vocab.TEXTS):
                     writer = writer or ShardWriter(store, f"{path}/shard-{shard:07d}", encoder.dtype, length)
                     for doc_id, raw in zip(ids, encoder.encode([b or "" for b in bodies])):
                         writer.add(doc_id, np.concatenate([np.frombuffer(raw, encoder.dtype), end]))
