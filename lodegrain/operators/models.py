@@ -32,7 +32,10 @@ class Reranker(Protocol):
 
 
 class HashingEmbedder:
-    """Words hashed to signed coordinates, summed and normalised. A stand-in."""
+    """Words hashed to signed coordinates, summed and normalised. A stand-in.
+
+    A text without words, or whose words cancel each other, counts as one word, so that only blank ones have no direction.
+    """
 
     def __init__(self, dim: int = 64):
         self.dim = dim
@@ -54,6 +57,9 @@ class HashingEmbedder:
             places = [self.known[w] if w in self.known else self._place(w) for w in _WORD.findall(text.lower())]
             counts = np.bincount(places, minlength=2 * self.dim) if places else np.zeros(2 * self.dim)
             row += counts[: self.dim] - counts[self.dim :]
+            if not row.any() and text.strip():
+                place = self._place(text.strip().lower())
+                row[place % self.dim] = 1 if place < self.dim else -1
         size = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, size, out=out, where=size > 0)
 
