@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
@@ -20,10 +22,30 @@ def inverted_to_text(index: Column, max_chars: int | None = None) -> Column:
     place = lambda p, i, j, t: F.struct(p.alias("p"), i.alias("i"), j.alias("j"), t.alias("t"))
     spread = lambda e, i: F.transform(F.coalesce(e["value"], F.array().cast("array<int>")), lambda p, j: place(p, i, j, e["key"]))
     placed = F.filter(F.flatten(F.transform(F.map_entries(index), spread)), lambda x: x["p"].isNotNull())
-    text = F.array_join(F.transform(F.array_sort(placed), lambda x: x["t"]), " ")
+    text = F.array_join(F.transform(F.sort_array(placed), lambda x: x["t"]), " ")  # array_sort would call a lambda for each comparison
     return F.nullif(F.left(text, F.lit(max_chars)) if max_chars else text, F.lit(""))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def text_to_inverted(c: Column) -> Column:
+    """A text's words with their positions, as ``map<token, positions>``; null stays null.
+
+    Words are sorted with their places, so that each token is one run, within the row: no
+    word is shuffled, and the work is that of sorting the text's own words.
+    """
+    words = F.filter(F.transform(F.split(c, SPACE), lambda t, p: F.struct(t.alias("t"), p.alias("p"))), lambda x: x["t"] != "")
+    places = lambda s: F.when(F.size(s) == 0, F.array().cast("array<int>")).otherwise(F.sequence(F.lit(0), F.size(s) - 1))
+    starts = lambda s: F.filter(places(s), lambda i: (i == 0) | (F.get(s, i)["t"] != F.get(s, i - 1)["t"]))
+    positions = lambda s, a, b: F.transform(F.sequence(a, b - 1), lambda i: F.get(s, i)["p"])
+    entry = lambda s, at, a, k: F.struct(F.get(s, a)["t"].alias("key"), positions(s, a, F.coalesce(F.get(at, k + 1), F.size(s))).alias("value"))
+    entries = _let(F.sort_array(words), lambda s: _let(starts(s), lambda at: F.transform(at, lambda a, k: entry(s, at, a, k))))
+    return F.map_from_entries(entries)
+
+
 @F.pandas_udf(T.MapType(T.StringType(), T.ArrayType(T.IntegerType())))
 def _strict_index(values: pd.Series) -> pd.Series:
     import json

@@ -151,11 +151,8 @@ def point_id_uuid5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT doc_id, nullif(trim(regexp_replace(text, '\\s+', ' ', 'g')), '') AS text FROM documents")
 def invert_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each text as an inverted index and back."""
-    docs = T(spark, sf_dir, "documents").select("doc_id", "text")
-    words = docs.select("doc_id", F.posexplode(F.split("text", text.SPACE)).alias("p", "token")).filter("token <> ''")
-    grouped = words.groupBy("doc_id", "token").agg(F.array_sort(F.collect_list("p")).alias("positions"))
-    inverted = grouped.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("token", "positions"))).alias("value"))
-    return docs.select("doc_id").join(inverted, "doc_id", "left").select("doc_id", text.inverted_to_text(F.col("value")).alias("text"))
+    docs = T(spark, sf_dir, "documents").withColumn("value", text.text_to_inverted(F.col("text")))
+    return docs.select("doc_id", text.inverted_to_text(F.col("value")).alias("text"))
 
 
 @query("SELECT doc_id, left(regexp_replace(text, '[  ]', ' ', 'g'), 300) || CASE WHEN length(text) > 300 THEN ' ...' ELSE '' END AS shown, length(text) > 300 AS was_cut FROM documents")
