@@ -26,6 +26,24 @@ from lodegrain.session import read_text, ship, write_text
 WIDTH, RECALL = 64, 0.95
 
 
+def nearest(vectors: np.ndarray, centroids: np.ndarray, n: int = 1) -> np.ndarray:
+    """The ``n`` best centroids of each vector, best first, ties by number; vectors are taken in blocks of ``knn.SCORES`` scores."""
+    n = min(n, len(centroids))
+    out = np.empty((len(vectors), n), np.int64)
+    block = max(1, knn.SCORES // len(centroids))
+    for at in range(0, len(vectors), block):
+        scores = np.asarray(vectors[at : at + block], np.float64) @ centroids.T
+        rows = np.arange(len(scores))
+        if n > 8:
+            out[at : at + block] = np.argsort(-scores, axis=1, kind="stable")[:, :n]
+            continue
+        for k in range(n):
+            best = scores.argmax(1)
+            out[at : at + block, k] = best
+            scores[rows, best] = -np.inf
+    return out
+
+
 @dataclass(frozen=True)
 class Cells:
     """Unit centroids, one row each; how many cells a vector is stored in, and how many a search probes."""
@@ -35,9 +53,7 @@ class Cells:
     probes: int = 8
 
     def nearest(self, vectors: np.ndarray, n: int = 1) -> np.ndarray:
-        scores = np.asarray(vectors, np.float64) @ self.centroids.T
-        n = min(n, scores.shape[1])
-        return np.argsort(-scores, axis=1, kind="stable")[:, :n]
+        return nearest(np.asarray(vectors), self.centroids, n)
 
     def probes_for(self, width: int) -> int:
         """Cells to probe for a search width; the width plays the part that it does in a graph."""
@@ -60,7 +76,7 @@ def _probes(x: np.ndarray, centroids: np.ndarray, spill: int, k: int = 10, n: in
     truth = np.argsort(-scores, axis=1, kind="stable")[:, : min(k, len(x) - 1)]
     if not truth.size:
         return 1
-    own = np.argsort(-(x @ centroids.T), axis=1, kind="stable")[:, :spill]
+    own = nearest(x, centroids, spill)
     order = np.argsort(np.argsort(-(queries @ centroids.T), axis=1, kind="stable"), axis=1)  # the place of each cell for each query
     first = order[np.arange(len(queries))[:, None, None], own[truth]].min(2)  # the probe that finds a neighbour
     return int(np.quantile(first, RECALL, method="higher")) + 1
@@ -82,7 +98,7 @@ def fit(points: DataFrame, cells: int | None = None, sample: int = 20_000, round
     rng = np.random.default_rng(seed)
     centroids = x[rng.choice(len(x), min(cells, len(x)), replace=False)]
     for _ in range(rounds):
-        own = (x @ centroids.T).argmax(1)
+        own = nearest(x, centroids)[:, 0]
         sums = np.zeros_like(centroids)
         np.add.at(sums, own, x)
         size = np.linalg.norm(sums, axis=1, keepdims=True)
@@ -95,7 +111,7 @@ def assign(points: DataFrame, cells: Cells, vector_col: str = "embedding", name:
     """Each vector's row once for each of its cells; rows without a vector have a null cell."""
     ship(points.sparkSession)
 
-    def nearest(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def own(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for column in columns:
             there = column.notna().to_numpy()
             out: list = [None] * len(column)
@@ -105,8 +121,8 @@ def assign(points: DataFrame, cells: Cells, vector_col: str = "embedding", name:
                     out[i] = row
             yield pd.Series(out, dtype=object)
 
-    nearest.__annotations__ = {"columns": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return points.withColumn(name, F.explode_outer(F.pandas_udf(nearest, "array<int>")(F.col(vector_col))))
+    own.__annotations__ = {"columns": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return points.withColumn(name, F.explode_outer(F.pandas_udf(own, "array<int>")(F.col(vector_col))))
 
 
 def write(points: DataFrame, cells: Cells, path: str, vector_col: str = "embedding") -> None:

@@ -21,6 +21,8 @@ from lodegrain.session import scratch, ship
 DIGITS = 6
 #: Queries in a call: their matrix is sent with the tasks.
 MOST_QUERIES = 1024
+#: Scores of points by queries, or by cells of an index, that a task holds at once, whatever the number of queries or cells.
+SCORES = 1 << 21
 
 
 def matrix(batch: pa.Array) -> np.ndarray:
@@ -50,14 +52,17 @@ def candidates(points: DataFrame, queries: np.ndarray, k: int, id_col: str, vect
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [(np.zeros(0, np.int64), np.zeros(0)) for _ in q]
-        for batch in batches:
+        rows = max(1, SCORES // max(1, len(q)))
+        for batch in (b.slice(at, rows) for b in batches for at in range(0, b.num_rows, rows)):
             if batch.column(1).null_count:
                 batch = batch.filter(batch.column(1).is_valid())
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             v = matrix(batch.column(1)).astype(np.float64)
             if not len(ids):
                 continue
-            scores = np.round(v @ q.T * scale, DIGITS)
+            scores = v @ q.T
+            scores *= scale
+            np.round(scores, DIGITS, out=scores)
             cells = batch.column(2).to_numpy(zero_copy_only=False) if cell_col else None
             for i in range(len(q)):
                 chosen = np.isin(cells, list(probes[i])) if probes is not None else slice(None)
