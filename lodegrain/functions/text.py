@@ -98,6 +98,28 @@ def _compatible(values: pd.Series) -> pd.Series:
     return values.map(lambda x: unicodedata.normalize("NFKC", html.unescape(x)).lower() if isinstance(x, str) else x)
 
 
+#: ASCII letters and digits as they are in lower case, other ASCII to a space, the bytes of longer characters as they are.
+_KEPT = bytes(b if b > 127 or chr(b) in "0123456789abcdefghijklmnopqrstuvwxyz" else 32 for b in range(256))
+
+
+@F.pandas_udf(T.StringType())
+def _normalised(values: pd.Series) -> pd.Series:
+    import html
+    import re
+    import unicodedata
+
+    outside = re.compile("[^\x00-\x7f가-힣]+")
+
+    def run(x):
+        if not isinstance(x, str):
+            return ""
+        x = unicodedata.normalize("NFKC", html.unescape(x) if "&" in x else x).lower()
+        x = x if x.isascii() else outside.sub(" ", x)
+        return b" ".join(x.encode().translate(_KEPT).split()).decode()
+
+    return values.map(run)
+
+
 def clean_text(c: Column) -> Column:
     """HTML entities resolved and white space squeezed; empty is null."""
     ship()
@@ -112,7 +134,7 @@ def normalise_ascii(c: Column) -> Column:
 def normalise(c: Column) -> Column:
     """Entities resolved, compatibility forms unified, lower case, all but digits, a-z and Hangul to spaces."""
     ship()
-    return F.trim(F.regexp_replace(F.coalesce(_compatible(c), F.lit("")), OUTSIDE, " "))
+    return _normalised(c)
 
 
 def duplicate_key(title: Column, abstract: Column, own: Column) -> Column:

@@ -16,8 +16,8 @@ def dedupe(items: DataFrame, key: Column, order: list[Column], within: list[str]
     with partial sums before the shuffle, so a key that many rows share is no burden.
     """
     names = items.columns
-    alone = F.when(key.isNull(), F.monotonically_increasing_id())
-    marked = items.withColumns({"__key": key, "__alone": alone, "__o": F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])})
+    alone = F.when(F.col("__key").isNull(), F.monotonically_increasing_id())
+    marked = items.withColumns({"__key": key, "__o": F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])}).withColumn("__alone", alone)
     grouped = marked.groupBy(*(within or []), "__key", "__alone").agg(F.min_by(F.struct(*names), "__o").alias("__first"), F.count("*").cast("int").alias(count))
     return grouped.select("__first.*", count)
 
@@ -28,9 +28,12 @@ def document_key(title: str = "title", abstract: str = "abstract", own: str = "o
 
 
 def dedupe_documents(items: DataFrame, order: list[Column], within: list[str] | None = None, key: Column | Callable[[DataFrame], Column] | None = None) -> DataFrame:
-    """``dedupe`` with the default key, another Column, or a function of the items that gives one."""
+    """``dedupe`` with the default key, another Column, or a function of the items that gives one.
+
+    Keys may be whole texts, so their digests are what is compared and shuffled.
+    """
     chosen = document_key() if key is None else key(items) if callable(key) else key
-    return dedupe(items, chosen, order, within)
+    return dedupe(items, F.sha2(chosen.cast("string"), 256), order, within)
 
 
 def removed(before: DataFrame, after: DataFrame, by: str) -> DataFrame:

@@ -186,8 +186,9 @@ def clean_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def normalised_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies merged by the full normaliser; the whole text is the title."""
-    docs = T(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("title"), F.col("text").alias("abstract"))
-    return dedupe.dedupe_documents(docs, [F.col("doc_id")], key=dedupe.document_key(own="doc_id")).select("doc_id", "duplicates")
+    docs = T(spark, sf_dir, "documents").select("doc_id", text.normalise(F.col("text")).alias("n"))
+    items = docs.select("doc_id", text.duplicate_key(F.col("n"), F.col("n"), F.col("doc_id")).alias("key"))
+    return dedupe.dedupe_documents(items.select("doc_id", F.sha2("key", 256).alias("key")), [F.col("doc_id")], key=F.col("key")).select("doc_id", "duplicates")
 
 
 @query()
