@@ -72,10 +72,10 @@ def parse_index(c: Column, strict: bool = False) -> Column:
         ship()
         return _strict_index(c)
     whole = F.when(F.trim(c).rlike(r"(?s)^\{.*\}$"), F.trim(c))
-    entries = F.map_entries(F.from_json(whole, POSITIONS))
-    keys = F.transform(entries, lambda e: e["key"])
-    last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), e["key"]))
-    return F.map_from_entries(F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(last))
+    keys = lambda e: F.transform(e, lambda x: x["key"])
+    last = lambda e, k: F.filter(e, lambda x, i: ~F.array_contains(F.slice(k, i + 2, F.size(k)), x["key"]))
+    once = lambda e: _let(keys(e), lambda k: F.when(F.size(F.array_distinct(k)) == F.size(k), e).otherwise(last(e, k)))
+    return F.map_from_entries(_let(F.map_entries(F.from_json(whole, POSITIONS)), once))
 
 
 def squeeze(c: Column) -> Column:

@@ -58,9 +58,9 @@ def attach_country(works: DataFrame, lookup: DataFrame, source_column: str = "pr
 def attach_text(works: DataFrame, texts: DataFrame, key: str = "id64", name: str = "abstract") -> DataFrame:
     """Adds the text of each id; rows that repeat an id all get it, rows without one keep null.
 
-    Of several texts for an id the longest is taken, and of equally long ones the first in order.
+    Of several texts for an id the longest is taken, and of equally long ones the first in order; null is the last.
     """
-    one = first_by(texts.select(key, name), key, [-F.length(name), F.col(name)])
+    one = first_by(texts.select(key, name), key, [F.col(name).isNull(), -F.length(name), F.col(name)])
     return works.join(one, key, "left")
 
 

@@ -13,14 +13,19 @@ from lodegrain.settings import Settings
 from lodegrain.sources import readers
 
 
+def dated_works(works: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Works of the configured years with ``__year`` and ``id64``."""
+    kind = dict(works.dtypes)["publication_year"]
+    dated = works.withColumn("__year", year_of(F.col("publication_year"), kind)).filter(predicates.in_years(F.col("__year"), settings.years))
+    return joins.with_number(dated)
+
+
 def filter_works(works: DataFrame, abstracts: DataFrame, sources: DataFrame | None, settings: Settings = Settings()) -> DataFrame:
     """Records of works in the configured years that have an abstract, with ``id64``.
 
     The year filter stands below the semi-join; the lookup is broadcast only if counted small.
     """
-    kind = dict(works.dtypes)["publication_year"]
-    dated = works.withColumn("__year", year_of(F.col("publication_year"), kind)).filter(predicates.in_years(F.col("__year"), settings.years))
-    kept = joins.only_in(joins.with_number(dated), readers.ids_with_text(abstracts))
+    kept = joins.only_in(dated_works(works, settings), readers.ids_with_text(abstracts))
     country = None
     if settings.attach_country and sources is not None:
         order = F.col("file") if "file" in sources.columns else None
@@ -29,12 +34,18 @@ def filter_works(works: DataFrame, abstracts: DataFrame, sources: DataFrame | No
     return projections.to_record(kept, F.col("__year"), country).withColumn("id64", joins.numeric_id(F.col("id")))
 
 
-def texts(abstracts: DataFrame, settings: Settings = Settings(), strict: bool = False) -> DataFrame:
-    """(id64, abstract) rebuilt from inverted indexes, given as JSON or as a map."""
+def _rebuilt(abstracts: DataFrame, settings: Settings, strict: bool, wanted: DataFrame | None = None) -> DataFrame:
+    """(id64, abstract) of rows with a readable id, null where the index isn't readable or is empty."""
     value = F.col("value")
     index = parse_index(value, strict) if dict(abstracts.dtypes)["value"] == "string" else value
-    text = line_safe(inverted_to_text(index, settings.max_abstract_chars))
-    return joins.with_number(abstracts.filter(value.isNotNull())).select("id64", text.alias("abstract")).filter("id64 is not null and abstract is not null")
+    numbered = joins.with_number(abstracts.filter(value.isNotNull())).filter("id64 is not null")
+    numbered = numbered if wanted is None else joins.only_in(numbered, wanted)
+    return numbered.select("id64", line_safe(inverted_to_text(index, settings.max_abstract_chars)).alias("abstract"))
+
+
+def texts(abstracts: DataFrame, settings: Settings = Settings(), strict: bool = False) -> DataFrame:
+    """(id64, abstract) rebuilt from inverted indexes, given as JSON or as a map."""
+    return _rebuilt(abstracts, settings, strict).filter("abstract is not null")
 
 
 def fill(records: DataFrame, texts: DataFrame) -> DataFrame:
@@ -43,8 +54,13 @@ def fill(records: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def prepare(works: DataFrame, abstracts: DataFrame, sources: DataFrame | None, settings: Settings = Settings(), embedder: Callable[[], models.Embedder] | None = None, strict: bool = False) -> DataFrame:
-    """The whole path as one plan; with an embedder, vectors of the abstracts as well."""
-    out = fill(filter_works(works, abstracts, sources, settings), texts(abstracts, settings, strict)).drop("id64")
+    """The whole path as one plan; with an embedder, vectors of the abstracts as well.
+
+    Only texts of works in the configured years are rebuilt, each once: a filter on the
+    rebuilt text would be pushed below it and rebuild it twice, so null texts are left to ``fill``.
+    """
+    wanted = dated_works(works, settings).select("id64")
+    out = fill(filter_works(works, abstracts, sources, settings), _rebuilt(abstracts, settings, strict, wanted)).drop("id64")
     if embedder is None:
         return out
     text = F.trim(F.col("abstract"))
